@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, rules, sharding, simhash
+from . import chat, html, mixing, rules, sharding, simhash, urls
 from .common import read
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(read(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(read(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.amounts(mixing.mix(read(spark, sf_dir, "documents")))
 
@@ -22,8 +30,17 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+#: A conversation whose texts are control strings, beside those of the table.
+TRICKY = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(rows.unionByName(spark.createDataFrame(TRICKY, "conv_id bigint, turn bigint, role string, text string")))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))[0]
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_mixing, op6_rules, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op2_urls, op3_simhash, op4_html, op5_mixing, op6_rules, op7_chat, op8_sharding)}

@@ -10,8 +10,8 @@ ORACLES["op6_rules"] = rf"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), f AS (
-    SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '{_GAP}'), x -> x <> '') AS w,
-           list_filter(string_split(t, chr(10)), x -> translate(x, {_SPACES}, '') <> '') AS l
+    SELECT r, doc_id, t, [x FOR x IN regexp_split_to_array(t, '{_GAP}') IF x <> ''] AS w,
+           [x FOR x IN string_split(t, chr(10)) IF translate(x, {_SPACES}, '') <> ''] AS l
     FROM d
 ), windows AS (
     SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n
@@ -31,3 +31,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 2 * n_dup_lines > n_lines) AS kept
 FROM m
 """
+
+ORACLES["op2_urls"] = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), judged AS (
+    SELECT *, CASE
+        WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+    END AS rule FROM parts
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM judged
+"""
+
+ORACLES["op7_chat"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), lengths AS (
+    SELECT *, length(text) + length(text) - length(replace(text, chr(92), '')) AS plain,
+           len(regexp_extract_all(text, '<\|im_start\|>|<\|im_end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS broken
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 1 + plain + broken + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
