@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, mixing, rules, sharding, simhash, urls
+from . import chat, classifier, cws, html, mixing, rules, sharding, simhash, urls
 from .common import read
 
 
+def op1_cws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.compared(read(spark, sf_dir, "documents"))
+
+
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(read(spark, sf_dir, "pages"))
 
@@ -43,4 +47,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))[0]
 
 
-QUERIES = {f.__name__: f for f in (op2_urls, op3_simhash, op4_html, op5_mixing, op6_rules, op7_chat, op8_sharding)}
+
+def op9_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_cws, op2_urls, op3_simhash, op4_html, op5_mixing, op6_rules, op7_chat, op8_sharding, op9_classifier)}
