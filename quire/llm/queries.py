@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, cws, html, mixing, rules, sharding, simhash, urls
+from . import chat, classifier, cws, html, mixing, pieces, rules, sharding, simhash, urls
 from .common import read
 
 
@@ -52,4 +52,12 @@ def op9_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cws, op2_urls, op3_simhash, op4_html, op5_mixing, op6_rules, op7_chat, op8_sharding, op9_classifier)}
+#: A public SentencePiece model; its path is a parameter of the operator.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.sampled(read(spark, sf_dir, "documents"), MODEL)
+
+
+QUERIES = {f.__name__: f for f in (op1_cws, op2_urls, op3_simhash, op4_html, op5_mixing, op6_rules, op7_chat, op8_sharding, op9_classifier, op10_pieces)}
