@@ -20,9 +20,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches of the Python operators in this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -37,13 +37,13 @@ SAMPLES = 2
 #: Exponent of the probabilities: below 1, samples differ more from the best segmentation.
 ALPHA = 0.5
 #: Characters of the texts that are sampled together.
-TOGETHER = 2_000_000
+TOGETHER = 4_000_000
 
 #: Words of at most so many characters have masses that doubles hold as they are.
 PLAIN = 60
 
-_WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n+|[^{BLANK}\n]+")
-_LITERAL = b"literal"  # stands for a blank sign that is in the text itself
+_WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+_LITERAL = b"_"  # of length 1; stands for a blank sign that is in the text itself
 _NO_CHAR = 0xFFFFFFFF
 _U = np.uint64
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, _U(0xD1342543DE82EF95)
@@ -126,12 +126,22 @@ def words_of(text: str) -> list[str | bytes]:
     """The words that the lattice of a text is a chain of; a blank begins the text, and each space is one."""
     if not text:
         return []
-    parts = (" " + text).split(BLANK)
     out: list[str | bytes] = []
-    for i, part in enumerate(parts):
+    for i, part in enumerate(text.split(BLANK)):
         if i:
             out.append(_LITERAL)
-        out += _WORD.findall(part.replace(" ", BLANK))
+        for j, line in enumerate(part.split("\n")):
+            if j:
+                out.append("\n")
+            if not i and not j:
+                line = f" {line}"
+            if "  " in line or line.endswith(" "):
+                out += _WORD.findall(line.replace(" ", BLANK))
+            elif line:
+                head, *rest = line.split(" ")
+                if head:
+                    out.append(head)
+                out += [BLANK + w for w in rest]
     return out
 
 
@@ -147,13 +157,29 @@ class Tables:
             by.setdefault(len(v.pieces[i]), []).append(i)
         self.longest = max(by)
         self.power = [_U(pow(_BASE, j, 1 << 64)) for j in range(self.longest)]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.of = {}
-        for n, ids in by.items():
-            h = self.hashes(np.array([[ord(c) for c in v.pieces[i]] for i in ids], np.uint32))
-            order = np.argsort(h)
-            self.of[n] = h[order], np.array(ids)[order], np.exp(v.log_prob[np.array(ids)][order])
-            self.maybe[self.slot(h)] = True
+        self.ids = np.array([i for n in sorted(by) for i in by[n]])
+        self.hash = np.concatenate([self.hashes(np.array([[ord(c) for c in v.pieces[i]] for i in by[n]], np.uint32)) for n in sorted(by)])
+        self.prob = np.exp(v.log_prob[self.ids])
+        self.byte_id = v.byte_id.astype(np.int32)
+        # A slot holds the first piece that falls in it; the few others are found by binary search.
+        self.first = np.full(1 << 20, -1, np.int32)
+        slot = self.slot(self.hash)
+        self.first[slot[::-1]] = np.arange(len(slot), dtype=np.int32)[::-1]
+        late = np.flatnonzero(self.first[slot] != np.arange(len(slot)))
+        self.late = late[np.argsort(self.hash[late])]
+        self.late_hash = np.append(self.hash[self.late], _U((1 << 64) - 1))
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces, and of what number."""
+        at = self.first[self.slot(h)]
+        maybe = np.flatnonzero(at >= 0)
+        at = at[maybe]
+        wrong = np.flatnonzero(self.hash[at] != h[maybe])
+        if len(wrong) and len(self.late):
+            k = np.searchsorted(self.late_hash, h[maybe[wrong]])
+            at[wrong] = self.late[np.minimum(k, len(self.late) - 1)]
+        hit = self.hash[at] == h[maybe]
+        return maybe[hit], at[hit]
 
     def hashes(self, chars: np.ndarray) -> np.ndarray:
         out = np.zeros(len(chars), _U)
@@ -169,13 +195,14 @@ class Tables:
 class Lattice:
     """The lattices of distinct words. Nodes are places between characters; a word's last node has no edge.
 
-    root: each word's first node. By node: start and n of its edges. By edge: source, target, piece (-1: the
+    root: each word's first node. By node: start and n of its edges. By edge: source, target, piece (-1: several
     bytes of one character), its share q of the source's mass, the others' share, and the running sum
     of shares.
     """
 
     def __init__(self, words: list[str | bytes], t: Tables):
-        length = np.array([1 if w is _LITERAL else len(w) for w in words], np.int64)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        has_literal = any(isinstance(w, bytes) for w in words)
         self.root = np.zeros(len(words), np.int64)
         parts: list[tuple[np.ndarray, ...]] = []
         counts: list[np.ndarray] = []
@@ -187,9 +214,11 @@ class Lattice:
             each = max(1, 400_000 // n)
             for at in range(0, len(group), each):
                 part = group[at : at + each]
-                literal = np.array([words[i] is _LITERAL for i in part.tolist()])
-                chars = np.frombuffer("".join("\0" if words[i] is _LITERAL else words[i] for i in part.tolist()).encode("utf-32-le"), np.uint32).reshape(len(part), n).copy()
-                chars[literal] = _NO_CHAR
+                these = [words[i] for i in part.tolist()]
+                literal = [isinstance(w, bytes) for w in these] if has_literal and n == 1 else False
+                chars = np.frombuffer("".join(these if literal is False else ["\0" if x else w for x, w in zip(literal, these, strict=True)]).encode("utf-32-le"), np.uint32).reshape(len(part), n).copy()
+                if literal is not False:
+                    chars[np.array(literal)] = _NO_CHAR
                 self.root[part] = nodes + np.arange(len(part))
                 parts.append(self._edges(np.ascontiguousarray(chars.T), nodes, t))
                 counts.append(parts[-1][-1])
@@ -211,14 +240,9 @@ class Lattice:
         hits = []
         for size in range(1, min(n, t.longest) + 1):
             h = h[: n - size + 1] + x[size - 1 :] * t.power[size - 1]
-            if size in t.of:
-                place = np.flatnonzero(t.maybe[t.slot(h)])
-                keys, ids, p = t.of[size]
-                found = h.ravel()[place]
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                hit = keys[at] == found
-                if hit.any():
-                    hits.append((size, place[hit], ids[at[hit]], p[at[hit]]))
+            place, found = t.find(h.ravel())
+            if len(place):
+                hits.append((size, place, t.ids[found], t.prob[found]))
         top = max([1, *(x[0] for x in hits)])
         weight = np.zeros((n, top, c))  # by the piece's length, longest first
         piece = np.full((n, top, c), -1, np.int32)
@@ -230,6 +254,7 @@ class Lattice:
             size = 1 + (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
             size[chars == _NO_CHAR] = 3
             weight[:, top - 1] = np.where(alone, t.byte_prob**size, weight[:, top - 1])
+            piece[:, top - 1] = np.where(alone & (size == 1), t.byte_id[chars & 127], piece[:, top - 1])
         # Mass of the paths from each place to the end. In long words each place has a scale of its own.
         mass = np.zeros((n + top + 1, c))
         mass[n] = 1.0
@@ -362,29 +387,35 @@ def _split(lattice: Lattice, who: list[int], paths: list[np.ndarray], kept: list
     run = np.cumsum(log_q)
     first = np.cumsum(size) - size
     before = run - log_q - np.repeat(np.where(size > 0, np.concatenate(([0.0], run))[first], 0.0), size)
-    with np.errstate(divide="ignore"):
-        at = before + np.log(lattice.rest[edge])
     place = np.arange(len(edge)) - np.repeat(first, size)
     fork = np.array(kept) - 1  # the last given edge; sets before it are in the queue already
     owner = np.repeat(np.arange(len(who)), size)
-    at[place < fork[owner]] = -np.inf
+    # A draw adds at most 38 to its set's log mass, and takes off at most 4. So with enough sets of a mass above
+    # e^-58 at hand, those below e^-100 can't be among the best.
+    rest = lattice.rest[edge]
+    enough = np.bincount(owner[(before > -50) & (rest > 1e-3) & (place > fork[owner])], minlength=len(who)) >= most
+    near = np.flatnonzero(((before > -100) | ~enough[owner]) & (place >= fork[owner]))
+    edge, owner, place, before_near = edge[near], owner[near], place[near], before[near]
+    with np.errstate(divide="ignore"):
+        at = before_near + np.log(rest[near])
+    begin = np.searchsorted(owner, np.arange(len(who) + 1))
     for i, d in enumerate(who):
-        if gone[d]:
-            e = int(edge[first[i] + fork[i]])
+        x = int(begin[i])  # the fork, if it is near
+        if gone[d] and x < begin[i + 1] and place[x] == fork[i]:
+            e = int(edge[x])
             node = int(lattice.source[e])
-            others = [x for x in range(int(lattice.start[node]), int(lattice.start[node] + lattice.n[node])) if x not in gone[d] and x != e]
-            at[first[i] + fork[i]] = before[first[i] + fork[i]] + np.log(lattice.q[others].sum()) if others else -np.inf
+            others = [o for o in range(int(lattice.start[node]), int(lattice.start[node] + lattice.n[node])) if o not in gone[d] and o != e]
+            at[x] = before_near[x] + np.log(lattice.q[others].sum()) if others else -np.inf
     docs = np.array(who)
-    value = _capped(at, cap[docs][owner], _uniform(np.repeat(salt[docs], size) ^ _mix(place.astype(_U) + _U(1 << 40))))
+    value = _capped(at, cap[docs][owner], _uniform(salt[docs][owner] ^ _mix(place.astype(_U) + _U(1 << 40))))
     for i, d in enumerate(who):
         found[d].append(Sample(paths[i], float(before[first[i] + size[i] - 1] + log_q[first[i] + size[i] - 1]) if size[i] else 0.0, float(cap[d])))
-    filled = np.flatnonzero(size)
+    filled = np.flatnonzero(np.diff(begin))
     for _ in range(most):
         if not len(filled):
             break
-        best = np.maximum.reduceat(value, first[filled])
         top = np.full(len(who), np.nan)
-        top[filled] = best
+        top[filled] = np.maximum.reduceat(value, begin[filled])
         hit = np.flatnonzero((value == top[owner]) & ~np.isneginf(value))
         _, one = np.unique(owner[hit], return_index=True)
         for x in hit[one].tolist():
@@ -433,8 +464,9 @@ def sampled(docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA)
     samples. round_trip says whether ids decode to the text. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    tune(spark)
-    shared = spark.sparkContext.broadcast(Vocabulary.load(model, alpha))  # as large as the model's vocabulary
+    tune(spark, 1024)
+    known = Vocabulary.load(model, alpha)
+    shared = spark.sparkContext.broadcast((known.pieces, known.log_prob, known.byte_id))  # as large as the model's vocabulary
     schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("gumbel", pa.float64()), ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())])
 
     def rows_of(ids: list, texts: list[str], v: Vocabulary, t: Tables, decode: Decoder) -> pa.RecordBatch:
@@ -448,7 +480,7 @@ def sampled(docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA)
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = Vocabulary(*shared.value)
         t, decode = v.tables(), v.decoder()
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), [x or "" for x in b.column("text").to_pylist()]
