@@ -5,6 +5,602 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import align, invoices, records, sampling, stats, tables
+from . import planning
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a function of a table reader under its name, with the SQL of its result."""
+
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark)
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- drift of a mix ---
+
+_PAIRS = """
+WITH p AS (SELECT lang AS value, count(*) / (SELECT count(*) FROM documents)::DOUBLE AS p FROM documents GROUP BY lang),
+t AS (SELECT source, count(*) AS draws FROM documents GROUP BY source),
+s AS (SELECT source, lang AS value, count(*) AS n FROM documents GROUP BY ALL),
+g AS (SELECT t.source, p.value, t.draws, p.p, coalesce(s.n, 0) AS n FROM t CROSS JOIN p LEFT JOIN s ON s.source = t.source AND s.value = p.value)
+"""
+
+
+@query(_PAIRS + """
+SELECT source, draws, distance, noise, draws >= 30 AS judged, draws >= 30 AND distance > 0.15 + noise AS drifted FROM (
+SELECT source, max(draws) AS draws, round(0.5 * sum(abs(n / draws::DOUBLE - p)), 6) AS distance,
+       round(0.5 * sum(CASE WHEN p > 0 AND p < 1 THEN sqrt(2 * p * (1 - p) / (pi() * draws)) ELSE 0 END), 6) AS noise FROM g GROUP BY source)
+""")
+def drift_lang_by_source(t, spark):
+    return stats.drift(t("documents"), "source", "lang")
+
+
+@query(_PAIRS + "SELECT source, value, round(p * draws, 6) AS expected FROM g WHERE n = 0 AND round(p * draws, 6) >= 5")
+def drift_never_drawn(t, spark):
+    return stats.never_drawn(t("documents"), "source", "lang")
+
+
+@query(_PAIRS + """
+SELECT source, value, gap, place::INT AS place FROM (
+SELECT source, value, gap, row_number() OVER (PARTITION BY source ORDER BY abs(gap) DESC, value) AS place
+FROM (SELECT source, value, round(n / draws::DOUBLE - p, 6) AS gap FROM g)) WHERE place <= 3
+""")
+def drift_top_gaps(t, spark):
+    return stats.top_gaps(t("documents"), "source", "lang")
+
+
+@query("SELECT lang, max(n) AS draws FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) GROUP BY lang")
+def run_draws_paired(t, spark):
+    return stats.run_draws(t("documents"), "lang", "source", True)
+
+
+@query("SELECT lang, count(*) AS draws FROM documents GROUP BY lang")
+def run_draws_independent(t, spark):
+    return stats.run_draws(t("documents"), "lang", "source", False)
+
+
+@query("SELECT source, lang AS value, count(*) AS n, sum(count(*)) OVER (PARTITION BY source)::BIGINT AS draws, count(*) / sum(count(*)) OVER (PARTITION BY source)::DOUBLE AS share FROM documents GROUP BY source, lang")
+def shard_shares(t, spark):
+    return stats.shares(t("documents"), "lang", ["source"])
+
+
+# --- text kernels ---
+
+_TOKENS = r"[x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}_.,\-]+') IF regexp_matches(x, '[\p{L}\p{N}_]')]"
+
+
+@query(f"SELECT doc_id, len({_TOKENS})::INT AS n_tokens, len(list_distinct({_TOKENS}))::INT AS n_distinct FROM documents")
+def token_counts(t, spark):
+    x = t("documents").select("doc_id", T.tokens(F.col("text")).alias("t"))
+    return x.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_distinct"))
+
+
+@query("SELECT doc_id, strip_accents(replace(replace(text, 'đ', 'd'), 'Đ', 'D')) AS folded FROM documents")
+def ascii_fold_docs(t, spark):
+    return t("documents").select("doc_id", T.ascii_fold("text").alias("folded"))
+
+
+@query("SELECT lang, count(*) AS n, round(avg(CASE WHEN regexp_matches(text, '[áàãéèíìóòõúùýâêôÁÀÃÉÈÍÌÓÒÕÚÙÝÂÊÔăđơưĂĐƠƯ]') THEN 1.0 ELSE 0.0 END), 6) AS share FROM documents GROUP BY lang")
+def diacritic_share(t, spark):
+    return t("documents").groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(T.has_diacritics(F.col("text")).cast("double")), 6).alias("share"))
+
+
+@query("""
+SELECT o_orderkey, replace(format('{:,}', round_even(o_totalprice, 0)::BIGINT), ',', '.') AS dot, format('{:,}', round_even(o_totalprice, 0)::BIGINT) AS comma,
+       CASE WHEN o_totalprice < 0 THEN '-' ELSE '' END || format('{:,}', round_even(abs(o_totalprice), 0)::BIGINT) || ' VND' AS signed FROM orders
+""")
+def money_styles(t, spark):
+    x = F.col("o_totalprice")
+    return t("orders").select("o_orderkey", T.money(x, "dot").alias("dot"), T.money(x, "comma").alias("comma"), T.money(x, "comma", suffix=" VND").alias("signed"))
+
+
+@query("SELECT o_orderkey, round_even(o_totalprice, 0) AS amount FROM orders")
+def money_read_back(t, spark):
+    return t("orders").select("o_orderkey", T.amount(T.money(F.col("o_totalprice"), "dot"), "dot").alias("amount"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity::BIGINT::VARCHAR AS q FROM lineitem")
+def quantity_text(t, spark):
+    return t("lineitem").select("l_orderkey", "l_linenumber", T.quantity(F.col("l_quantity")).alias("q"))
+
+
+@query("SELECT o_orderkey, round_even(o_totalprice / 500, 0) * 500 AS stepped FROM orders")
+def round_to_step(t, spark):
+    return t("orders").select("o_orderkey", T.round_to(F.col("o_totalprice"), 500).alias("stepped"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean FROM documents")
+def whitespace_clean(t, spark):
+    return t("documents").select("doc_id", T.trimmed(F.col("text")).alias("clean"))
+
+
+@query(r"SELECT doc_id, len(string_split(regexp_replace(replace(text, '.', ' . '), '(( /?[.!?])+ )', '\1' || chr(10), 'g'), chr(10)))::INT AS n_sentences FROM documents")
+def sentence_split(t, spark):
+    return t("documents").select("doc_id", F.size(T.sentences(F.replace("text", F.lit("."), F.lit(" . ")))).alias("n_sentences"))
+
+
+@query(r"""
+SELECT item_id, CASE WHEN trim(text) = '' THEN 'empty' WHEN regexp_matches(text, '[0-9]') THEN 'digit' WHEN regexp_matches(text, '(^|[^\p{L}])\p{Lu}{2,}([^\p{L}]|$)') THEN 'allcaps'
+       WHEN NOT regexp_matches(text, '^[\p{L} .,''-]*$') THEN 'alphabet' END AS reason FROM benchmark
+""")
+def handwriting_refusal(t, spark):
+    return t("benchmark").select("item_id", T.refusal(F.col("text")).alias("reason"))
+
+
+@query(r"SELECT doc_id, CASE WHEN regexp_replace(text, '[^\x00-\x7F]', '', 'g') = '' THEN '_' ELSE regexp_replace(text, '[^\x00-\x7F]', '', 'g') END AS plain FROM documents")
+def non_ascii_removed(t, spark):
+    return t("documents").select("doc_id", T.without_non_ascii(F.col("text")).alias("plain"))
+
+
+@query("""
+SELECT p_partkey, (10 - (list_sum([CASE WHEN i % 2 = 0 THEN 3 ELSE 1 END * substr(c, i, 1)::INT FOR i IN range(1, 13)])) % 10) % 10 AS digit
+FROM (SELECT p_partkey, lpad((893000000000 + p_partkey)::VARCHAR, 12, '0') AS c FROM part)
+""")
+def ean13_digit(t, spark):
+    twelve = F.lpad((F.lit(893000000000) + F.col("p_partkey")).cast("string"), 12, "0")
+    return t("part").select("p_partkey", T.ean13_check(twelve).cast("bigint").alias("digit"))
+
+
+@query("SELECT p_partkey, printf('#%02x%02x%02x', p_partkey % 256, p_size % 256, (p_partkey * 7) % 256) AS colour, round_even(p_size + (255 - p_size) * 0.25, 0)::INT AS faded FROM part")
+def colours(t, spark):
+    k, s = F.col("p_partkey"), F.col("p_size")
+    return t("part").select("p_partkey", T.hex_colour(k % 256, s % 256, k * 7 % 256).alias("colour"), T.faded(s, F.lit(0.25)).alias("faded"))
+
+
+@query("SELECT c_custkey, 'Dear ' || c_name || ', ' || c_mktsegment AS letter FROM customer")
+def template_filled(t, spark):
+    values = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"))
+    return t("customer").select("c_custkey", T.filled(F.lit("Dear {name}, {segment}"), values).alias("letter"))
+
+
+@query()
+def amount_in_words(t, spark):
+    return t("orders").select("o_orderkey", T.words_vi(F.bround("o_totalprice", 0).cast("bigint")).alias("words"))
+
+
+@query()
+def wrapped_lines(t, spark):
+    return t("benchmark").select("item_id", T.wrapped(F.col("text"), 40).alias("lines"))
+
+
+# --- order-free recall and strata ---
+
+_EXPLODED = r"SELECT {key}, unnest([x FOR x IN regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}_.,\-]+') IF regexp_matches(x, '[\p{{L}}\p{{N}}_]')]) AS token FROM {table}"
+
+
+@query(f"""
+WITH turns AS ({_EXPLODED.format(key="conv_id, role", table="conversations")}),
+a AS (SELECT conv_id, token, count(*) AS a FROM turns WHERE role = 'assistant' GROUP BY ALL), b AS (SELECT conv_id, token, count(*) AS b FROM turns WHERE role = 'user' GROUP BY ALL)
+SELECT conv_id, sum(a)::BIGINT AS wanted, sum(least(a, coalesce(b, 0)))::BIGINT AS found, round(sum(least(a, coalesce(b, 0))) / sum(a)::DOUBLE, 6) AS recall FROM a LEFT JOIN b USING (conv_id, token) GROUP BY conv_id
+""")
+def token_recall(t, spark):
+    turns = t("conversations").select("conv_id", "role", F.explode(T.tokens(F.col("text"))).alias("token"))
+    return stats.multiset_recall(turns.where("role = 'assistant'"), turns.where("role = 'user'"), "conv_id")
+
+
+_RATED = "SELECT source, lang, quality, n_chars::DOUBLE AS v FROM documents JOIN labels USING (doc_id)"
+
+
+@query(f"""
+SELECT source, lang, quality, round(avg(v), 6) AS mean, count(v) AS n, grouping(source, lang, quality)::INT AS grouping FROM ({_RATED})
+GROUP BY GROUPING SETS ((source), (lang), (quality), (source, lang))
+""")
+def recall_strata(t, spark):
+    rated = t("documents").join(t("labels"), "doc_id").withColumn("v", F.col("n_chars").cast("double"))
+    return stats.strata(rated, "v", ["source", "lang", "quality"], ("source", "lang"))
+
+
+@query("""
+SELECT lang, round(max(m) - min(m), 6) AS spread, max_by(source, (m, source)) AS highest, count(*) AS levels
+FROM (SELECT lang, source, avg(n_chars) AS m FROM documents GROUP BY ALL) GROUP BY lang HAVING count(*) > 1
+""")
+def ageing_spread(t, spark):
+    return stats.spread(t("documents"), "lang", "source", "n_chars")
+
+
+@query("""
+WITH m AS (SELECT lang, doc_id % 2 AS half, avg(n_chars) AS v FROM documents GROUP BY ALL)
+SELECT a.lang, round(a.v - b.v, 4) AS fall FROM m a JOIN m b ON a.lang = b.lang AND a.half = 0 AND b.half = 1
+""")
+def compare_reports(t, spark):
+    m = t("documents").groupBy("lang", (F.col("doc_id") % 2).alias("half")).agg(F.avg("n_chars").alias("v"))
+    a, b = m.where("half = 0").select("lang", F.col("v").alias("a")), m.where("half = 1").select("lang", F.col("v").alias("b"))
+    return a.join(b, "lang").select("lang", F.round(F.col("a") - F.col("b"), 4).alias("fall"))
+
+
+# --- checks ---
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, round(l_quantity * p_retailprice - l_extendedprice, 6) AS off FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE abs(round(l_quantity * p_retailprice - l_extendedprice, 6)) > 0.5
+""")
+def line_arithmetic(t, spark):
+    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    return records.line_arithmetic(lines, F.col("l_quantity"), F.col("p_retailprice"), F.col("l_extendedprice")).select("l_orderkey", "l_linenumber", "off")
+
+
+@query("""
+SELECT o_orderkey, off FROM (SELECT o_orderkey, round(o_totalprice - coalesce(s, 0), 2) AS off FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_extendedprice) AS s FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)
+WHERE abs(off) > 0.5
+""")
+def order_totals_check(t, spark):
+    lines = t("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return records.totals(t("orders"), lines, "o_orderkey", "o_totalprice", "l_extendedprice", 0.5).select("o_orderkey", "off")
+
+
+@query("""
+SELECT 'customer' AS kind, c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT DISTINCT 'order', o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+""")
+def reference_both_ways(t, spark):
+    return records.two_way(t("orders"), t("customer"), "o_custkey", "c_custkey", ("order", "customer"))
+
+
+@query("""
+SELECT conv_id, turn, list_filter([CASE WHEN role NOT IN ('user', 'assistant', 'system') THEN 'role' END, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' END,
+       CASE WHEN length(text) > 1000 THEN 'long' END, CASE WHEN turn < 0 THEN 'turn' END], lambda x: x IS NOT NULL) AS problems FROM conversations
+""")
+def record_problems(t, spark):
+    checks = {"role": ~F.col("role").isin("user", "assistant", "system"), "empty": F.col("text").isNull() | (F.trim("text") == ""), "long": F.length("text") > 1000, "turn": F.col("turn") < 0}
+    return t("conversations").select("conv_id", "turn", records.problems(checks).alias("problems"))
+
+
+@query("SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS leaf FROM events")
+def json_leaves(t, spark):
+    return records.json_leaves(t("events"), "event_id", "props", 2)
+
+
+@query("SELECT source, count(*) - count(DISTINCT sha256(text)) AS repeated FROM documents GROUP BY source")
+def duplicate_labels(t, spark):
+    return t("documents").groupBy("source").agg((F.count("*") - F.countDistinct(F.sha2("text", 256))).alias("repeated"))
+
+
+@query("""
+WITH f AS (SELECT source, unnest([{'field': 'digit', 'there': regexp_matches(text, '[0-9]')}, {'field': 'pipe', 'there': contains(text, '|')}, {'field': 'newline', 'there': contains(text, chr(10))}]) AS x FROM documents)
+SELECT source, field, n, missing, share FROM (SELECT source, x.field AS field, count(*) AS n, count(*) FILTER (NOT x.there) AS missing, round(count(*) FILTER (NOT x.there) / count(*)::DOUBLE, 6) AS share FROM f GROUP BY ALL)
+WHERE n >= 5 AND share > 0.5
+""")
+def unprinted_budget(t, spark):
+    text = F.col("text")
+    rows = t("documents").select("source", text.rlike("[0-9]").alias("digit"), text.contains("|").alias("pipe"), text.contains("\n").alias("newline"))
+    return records.unprinted(rows, "source", ["digit", "pipe", "newline"], 0.5)
+
+
+@query("""
+WITH b AS (SELECT l_orderkey, l_linenumber AS i, l_quantity AS x0, l_quantity + 20 AS x1, l_discount * 100 AS y0, l_discount * 100 + 5 AS y1 FROM lineitem)
+SELECT l_orderkey, i, j, share FROM (
+SELECT a.l_orderkey, a.i, b.i AS j, round((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)) / least((a.x1 - a.x0) * (a.y1 - a.y0), (b.x1 - b.x0) * (b.y1 - b.y0)), 6) AS share
+FROM b a JOIN b ON a.l_orderkey = b.l_orderkey AND a.i < b.i AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1) WHERE share > 0.3
+""")
+def pairwise_overlap(t, spark):
+    q, d = F.col("l_quantity"), F.col("l_discount") * 100
+    boxes = t("lineitem").select("l_orderkey", F.col("l_linenumber").alias("i"), q.alias("x0"), (q + 20).alias("x1"), d.alias("y0"), (d + 5).alias("y1"))
+    return records.overlaps(boxes, "l_orderkey", "i")
+
+
+# --- fingerprints ---
+
+
+@query("SELECT c_custkey, sha256('{\"c_custkey\":' || c_custkey || ',\"c_name\":\"' || c_name || '\",\"c_nationkey\":' || c_nationkey || '}') AS sha FROM customer")
+def fingerprint_rows(t, spark):
+    return t("customer").select("c_custkey", records.row_hash(["c_name", "c_custkey", "c_nationkey"]).alias("sha"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey >= 1000000 THEN 'added' WHEN c_custkey % 10 = 0 THEN 'missing' ELSE 'differs' END AS change FROM
+(SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0 OR c_custkey % 7 = 0 UNION ALL SELECT c_custkey + 1000000 FROM customer WHERE c_custkey < 5)
+""")
+def dataset_diff(t, spark):
+    before = t("customer").select("c_custkey", "c_name")
+    changed = before.where("c_custkey % 10 <> 0").withColumn("c_name", F.when(F.col("c_custkey") % 7 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")))
+    more = before.where("c_custkey < 5").withColumn("c_custkey", F.col("c_custkey") + 1000000)
+    return records.diff(before, changed.unionByName(more), "c_custkey", ["c_name"])
+
+
+@query()
+def dataset_digest(t, spark):
+    return records.digest(t("orders"), ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+# --- plans ---
+
+
+@query("""
+SELECT n_name, pos::INT AS pos, 103 // n + CASE WHEN pos < 103 % n THEN 1 ELSE 0 END AS quota FROM (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS pos, count(*) OVER () AS n FROM nation)
+""")
+def quota_split(t, spark):
+    return planning.quotas(t("nation"), 103, "n_nationkey").select("n_name", "pos", "quota")
+
+
+_RUNS = """
+WITH q AS (SELECT r_name AS backend, r_regionkey AS b, n_name AS layout, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1 AS pos, n_nationkey % 4 * 3 AS quota FROM nation JOIN region ON n_regionkey = r_regionkey),
+runs AS (SELECT backend, layout, 500 + b * 100000 + (row_number() OVER w - 1) * 1000 AS seed, quota AS count, coalesce(sum(quota) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_index FROM q WHERE quota > 0 WINDOW w AS (PARTITION BY backend ORDER BY pos))
+"""
+
+
+def _runs(t):
+    from pyspark.sql import Window
+
+    q = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    q = q.select(F.col("r_name").alias("backend"), F.col("r_regionkey").alias("backend_pos"), F.col("n_name").alias("layout"), (F.row_number().over(Window.partitionBy("r_name").orderBy("n_nationkey")) - 1).alias("pos"), (F.col("n_nationkey") % 4 * 3).alias("quota"))
+    return planning.runs(q, "backend", 500, False)
+
+
+@query(_RUNS + "SELECT * FROM runs")
+def backend_runs(t, spark):
+    return _runs(t)
+
+
+@query(_RUNS + """
+SELECT backend, shard, layout, seed + greatest(first_index, shard * 5) - first_index AS seed, least(first_index + count, (shard + 1) * 5) - greatest(first_index, shard * 5) AS count
+FROM (SELECT *, unnest(range(first_index // 5, (first_index + count - 1) // 5 + 1)) AS shard FROM runs)
+""")
+def shard_runs(t, spark):
+    return planning.shards(_runs(t), "backend", 5)
+
+
+@query("""
+SELECT o_custkey, lo, hi, next_lo FROM (SELECT *, lead(lo) OVER (PARTITION BY o_custkey ORDER BY lo, hi) AS next_lo FROM (SELECT o_custkey, o_orderkey AS lo, o_orderkey + 400 AS hi FROM orders)) WHERE next_lo < hi
+""")
+def seed_overlap(t, spark):
+    ranges = t("orders").select("o_custkey", F.col("o_orderkey").alias("lo"), (F.col("o_orderkey") + 400).alias("hi"))
+    return records.adjacent_overlaps(ranges, ["o_custkey"])
+
+
+@query("""
+WITH p AS (SELECT event_type, user_id, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL)
+SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.n, b.n) AS n, CASE WHEN a.n IS NOT NULL THEN 'click' ELSE 'view' END AS only_in
+FROM (FROM p WHERE event_type = 'click') a FULL JOIN (FROM p WHERE event_type = 'view') b ON a.user_id = b.user_id AND a.n = b.n WHERE a.n IS NULL OR b.n IS NULL
+""")
+def paired_plan_check(t, spark):
+    plan = t("events").where(F.col("event_type").isin("click", "view")).groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
+    return planning.unpaired(plan, "click", "view", "event_type", ["user_id", "n"])
+
+
+@query("SELECT r_regionkey, r_regionkey * 10 + k AS page_seed, (r_regionkey * (r_regionkey - 1)) // 2 + k AS index FROM (SELECT r_regionkey, unnest(range(0, r_regionkey)) AS k FROM region)")
+def job_pages(t, spark):
+    jobs = t("region").select("r_regionkey", F.col("r_regionkey").cast("bigint").alias("count"), (F.col("r_regionkey") * 10).cast("bigint").alias("seed"))
+    return planning.pages(jobs, "r_regionkey").select("r_regionkey", "page_seed", "index")
+
+
+@query("SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 8 AS batch, printf('%s_%03d.jpg', source, doc_id) AS image FROM documents")
+def page_split(t, spark):
+    return planning.batched(t("documents").select("doc_id", "source"), "source", "doc_id", 8).select("doc_id", "source", "batch", planning.image_name(F.col("source"), F.col("doc_id")).alias("image"))
+
+
+@query("SELECT n_name, r_name, s AS size FROM nation CROSS JOIN region CROSS JOIN (VALUES ('a4'), ('a5')) v(s)")
+def style_product(t, spark):
+    return planning.product(t("nation").select("n_name"), t("region").select("r_name"), spark.createDataFrame([("a4",), ("a5",)], "size string"))
+
+
+# --- constrained sampling ---
+
+#: A small rule space: attribute, id, weight, tags, requires, excludes.
+OPTIONS = [
+    (0, "document", 0, "bill", 3.0, ["money"], [], []),
+    (0, "document", 1, "letter", 1.0, ["prose"], [], []),
+    (1, "layout", 0, "grid", 2.0, ["wide"], ["money"], []),
+    (1, "layout", 1, "plain", 1.0, [], [], []),
+    (1, "layout", 2, "column", 1.0, ["narrow"], ["prose"], ["money"]),
+    (2, "visual", 0, "stamp", 1.0, ["red"], ["money"], ["narrow"]),
+    (2, "visual", 1, "none", 4.0, [], [], []),
+]
+_OPTIONS = "WITH o(attr_pos, attr, opt_pos, id, weight, tags, requires, excludes) AS (VALUES " + ", ".join(f"({a}, '{b}', {c}, '{d}', {w}::DOUBLE, {t}::VARCHAR[], {r}::VARCHAR[], {x}::VARCHAR[])" for a, b, c, d, w, t, r, x in OPTIONS) + ")"
+
+
+def _options(spark):
+    return spark.createDataFrame(OPTIONS, sampling.SCHEMA)
+
+
+@query(_OPTIONS + " SELECT attr, id FROM o WHERE list_has_all(['money', 'wide'], requires) AND NOT list_has_any(['money', 'wide'], excludes)")
+def options_allowed(t, spark):
+    held = F.array(F.lit("money"), F.lit("wide"))
+    return _options(spark).where(sampling.allowed(held, F.col("requires"), F.col("excludes"))).select("attr", "id")
+
+
+@query(_OPTIONS + " SELECT attr, id, round(weight / sum(weight) OVER (PARTITION BY attr), 6) AS share FROM o")
+def option_shares(t, spark):
+    return sampling.weight_shares(_options(spark))
+
+
+@query(_OPTIONS + """
+, s0 AS (SELECT ([])::VARCHAR[] AS tags), s1 AS (SELECT DISTINCT list_sort(list_distinct(list_concat(s0.tags, o.tags))) AS tags FROM s0 JOIN o ON attr_pos = 0 AND list_has_all(s0.tags, requires) AND NOT list_has_any(s0.tags, excludes)),
+s2 AS (SELECT DISTINCT list_sort(list_distinct(list_concat(s1.tags, o.tags))) AS tags FROM s1 JOIN o ON attr_pos = 1 AND list_has_all(s1.tags, requires) AND NOT list_has_any(s1.tags, excludes))
+SELECT 0 AS attr_pos, tags FROM s0 UNION ALL SELECT 1, tags FROM s1 UNION ALL SELECT 2, tags FROM s2
+""")
+def reachable_tags(t, spark):
+    return sampling.reachable(_options(spark))
+
+
+_U = "(('0x' || substr(md5({key}), 1, 8))::BIGINT / 4294967296.0)::DOUBLE"
+
+
+@query(_OPTIONS + f"""
+, r AS (SELECT id, opt_pos, sum(weight) OVER (ORDER BY opt_pos) AS run, sum(weight) OVER () AS total FROM o WHERE attr = 'layout'),
+d AS (SELECT doc_id, {_U.format(key="doc_id || ':layout'")} AS u FROM documents)
+SELECT doc_id, min_by(id, opt_pos) AS id FROM d JOIN r ON run >= u * total GROUP BY doc_id
+""")
+def inverse_cdf_draw(t, spark):
+    return sampling.draw_one(t("documents").select("doc_id"), _options(spark).where("attr = 'layout'"), "doc_id", sampling.uniform(F.col("doc_id"), F.lit("layout")))
+
+
+@query()
+def sampled_recipes(t, spark):
+    out = sampling.sample(t("documents").select(F.col("doc_id").alias("draw")), _options(spark))
+    return out.groupBy(F.col("attributes")["document"].alias("document"), F.col("attributes")["layout"].alias("layout"), F.col("attributes")["visual"].alias("visual")).count()
+
+
+@query("SELECT 'layout' AS attr, 'column' AS id, 'unsatisfiable' AS problem WHERE false")
+def invalid_options(t, spark):
+    return sampling.invalid(_options(spark))
+
+
+# --- costs ---
+
+_COST = "SELECT user_id % 4 AS process, event_type AS stage, count(*) AS calls, round(sum(value), 6) AS seconds FROM events GROUP BY ALL"
+
+
+def _costs(t):
+    return stats.stage_cost(t("events").withColumn("process", F.col("user_id") % 4), "process", "event_type", "value").withColumnRenamed("event_type", "stage")
+
+
+@query(f"SELECT *, round(seconds / calls, 6) AS per_call, round(seconds / sum(seconds) OVER (PARTITION BY process), 6) AS share FROM ({_COST})")
+def stage_cost(t, spark):
+    return _costs(t)
+
+
+@query(f"SELECT stage, sum(calls)::BIGINT AS calls, round(sum(seconds), 6) AS seconds, round(sum(seconds) / sum(calls), 6) AS per_call FROM ({_COST}) GROUP BY stage")
+def merged_costs(t, spark):
+    return stats.merged_costs(_costs(t))
+
+
+@query(f"""
+WITH m AS (SELECT stage, round(sum(seconds) / sum(calls), 6) AS per_call FROM ({_COST}) GROUP BY stage)
+SELECT user_id AS job, round(sum(n * per_call) + 1.5, 6) AS seconds FROM (SELECT user_id, event_type AS stage, count(*) AS n FROM events GROUP BY ALL) JOIN m USING (stage) GROUP BY user_id
+""")
+def predicted_cost(t, spark):
+    work = t("events").groupBy(F.col("user_id").alias("job"), F.col("event_type").alias("stage")).agg(F.count("*").alias("n"))
+    return stats.predicted(stats.merged_costs(_costs(t)).select("stage", "per_call"), work, 1.5)
+
+
+_MONTHS = ", ".join(f"round(100 * coalesce(sum(value) FILTER (user_id % 3 = {i}), 0) / (SELECT sum(value) FROM events WHERE user_id % 3 = {i}), 4) AS \"p{i}\"" for i in range(3))
+
+
+@query(f"SELECT event_type, {_MONTHS} FROM events GROUP BY event_type")
+def percent_table(t, spark):
+    df = t("events").withColumn("p", F.concat(F.lit("p"), F.col("user_id") % 3))
+    return stats.percent_table(df, "event_type", "p", ["p0", "p1", "p2"], "value")
+
+
+@query("SELECT process, path, seconds::DOUBLE AS seconds, round(seconds - coalesce(inner_, 0), 6)::DOUBLE AS own FROM (SELECT * FROM (VALUES (1, 'a', 10.0), (1, 'a/b', 4.0), (1, 'a/c', 3.5), (1, 'a/b/d', 1.25)) v(process, path, seconds)) LEFT JOIN (VALUES ('a', 7.5), ('a/b', 1.25)) w(path, inner_) USING (path)")
+def exclusive_seconds(t, spark):
+    return stats.exclusive(spark.createDataFrame([(1, "a", 10.0), (1, "a/b", 4.0), (1, "a/c", 3.5), (1, "a/b/d", 1.25)], "process int, path string, seconds double"))
+
+
+@query("SELECT event_id, user_id, before, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE value < before")
+def restart_detection(t, spark):
+    return stats.restarts(t("events"), "user_id", ["ts", "event_id"], "value").select("event_id", "user_id", "before", "value")
+
+
+@query("SELECT p_brand, min(p_partkey) AS first FROM part GROUP BY p_brand")
+def keep_first(t, spark):
+    return stats.ordered_distinct(t("part"), "p_brand", F.col("p_partkey"))
+
+
+# --- bills ---
+
+
+@query("SELECT l_orderkey, l_tax, net, round_even(net::DECIMAL(18, 2) * l_tax::DECIMAL(6, 4), 2)::DOUBLE AS tax FROM (SELECT l_orderkey, l_tax, round(sum(l_extendedprice), 2) AS net FROM lineitem GROUP BY ALL)")
+def tax_by_rate(t, spark):
+    return invoices.tax_by_rate(t("lineitem"), "l_orderkey", "l_tax", F.col("l_extendedprice"))
+
+
+@query("""
+WITH p AS (SELECT l_tax, round(sum(l_quantity), 2) AS net, count(*) AS lines FROM lineitem GROUP BY l_tax)
+SELECT r AS l_tax, coalesce(net, 0) AS net, coalesce(lines, 0) AS lines FROM (VALUES (0.0::DOUBLE), (0.05), (0.5)) v(r) LEFT JOIN p ON l_tax = r
+UNION ALL SELECT NULL, round(sum(l_quantity), 2), count(*) FROM lineitem
+""")
+def tax_summary(t, spark):
+    return invoices.tax_summary(t("lineitem"), [0.0, 0.05, 0.5], "l_tax", F.col("l_quantity"))
+
+
+@query("SELECT l_returnflag, l_linestatus, grouping(l_returnflag, l_linestatus)::INT AS level, round(sum(l_quantity), 2) AS amount, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
+def group_headings(t, spark):
+    return invoices.headings(t("lineitem"), "l_returnflag", "l_linestatus", "l_quantity")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, f AS fund, a - f AS copay, CASE WHEN w THEN b ELSE 0 END AS other_pay, a - f + CASE WHEN w THEN 0 ELSE b - a END AS self_pay
+FROM (SELECT *, round_even(a * 80 / 100, 0) AS f FROM (SELECT l_orderkey, l_linenumber, round_even(l_extendedprice, 0) AS b, round_even(l_extendedprice * 0.5, 0) AS a, l_returnflag = 'R' AS w FROM lineitem))
+""")
+def insurance_shares(t, spark):
+    full, part = F.bround("l_extendedprice", 0), F.bround(F.col("l_extendedprice") * 0.5, 0)
+    return t("lineitem").select("l_orderkey", "l_linenumber", *invoices.insured(full, part, F.lit(80), F.col("l_returnflag") == "R"))
+
+
+@query("SELECT o_orderkey, (o_orderdate::DATE + k::INT) AS night, (k + 1)::INT AS no FROM (SELECT o_orderkey, o_orderdate, unnest(range(0, o_orderkey % 4)) AS k FROM orders)")
+def stay_nights(t, spark):
+    stays = t("orders").select("o_orderkey", "o_orderdate", (F.col("o_orderkey") % 4).alias("n"))
+    return invoices.nights(stays, "o_orderdate", "n").select("o_orderkey", "night", "no")
+
+
+# --- table structure and markup ---
+
+
+@query("""
+WITH c AS (SELECT l_orderkey % 100 AS t, l_orderkey AS r, l_linenumber AS c, l_linenumber % 3 AS span FROM lineitem WHERE l_orderkey < 1000),
+rows AS (SELECT t, r, '<tr> ' || string_agg(CASE WHEN span > 1 THEN '<td  colspan="' || span || '" > </td>' ELSE '<td> </td>' END, ' ' ORDER BY c) || ' </tr>' AS s FROM c GROUP BY ALL)
+SELECT t, string_agg(s, ' ' ORDER BY r) AS tokens FROM rows GROUP BY t
+""")
+def structure_tokens(t, spark):
+    k = F.col("l_orderkey")
+    cells = t("lineitem").where(k < 1000).select((k % 100).alias("t"), k.alias("row"), F.col("l_linenumber").alias("col"), F.lit(1).alias("rowspan"), (F.col("l_linenumber") % 3).alias("colspan"))
+    return tables.structure_tokens(cells, "t").select("t", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query()
+def table_cells(t, spark):
+    markup = F.concat(F.lit("<table><tr><td rowspan=2>"), F.col("n_name"), F.lit("</td><td>a</td></tr><tr><td>b</td></tr></table>"))
+    return t("nation").select("n_nationkey", F.explode(tables.cells_of(markup)).alias("c")).select("n_nationkey", "c.*")
+
+
+@query()
+def labelled_runs(t, spark):
+    return t("pages").select("page_id", F.posexplode(tables.labelled_runs("html")).alias("pos", "r")).select("page_id", "pos", "r.*")
+
+
+# --- alignment, labels and edit metrics ---
+
+
+@query("SELECT item_id, length(text)::INT AS lcs FROM benchmark")
+def lcs_of_spaced(t, spark):
+    return t("benchmark").select("item_id", align.lcs("text", F.regexp_replace("text", "e", "eß")).alias("lcs"))
+
+
+def _noisy(t):
+    return t("benchmark").select("item_id", T.trimmed(F.col("text")).alias("gt"), F.translate(T.trimmed(F.col("text")), "t", "ł").alias("noise"))
+
+
+@query("SELECT item_id, replace(g, 't', '') AS same FROM (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS g FROM benchmark)")
+def aligned_common(t, spark):
+    pair = _noisy(t).withColumn("p", align.aligned("gt", "noise"))
+    both = F.filter(F.arrays_zip(F.split("p.gt", "").alias("a"), F.split("p.noise", "").alias("b")), lambda c: c["a"] == c["b"])
+    return pair.select("item_id", F.array_join(F.transform(both, lambda c: c["a"]), "").alias("same"))
+
+
+@query("SELECT item_id, (length(g) - length(replace(g, 't', '')))::INT AS replaces, length(replace(g, 't', ''))::INT AS matches, 0 AS inserts, 0 AS deletes FROM (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS g FROM benchmark)")
+def edit_counts(t, spark):
+    e = _noisy(t).withColumn("e", align.edit_counts(align.aligned("gt", "noise")))
+    return e.select("item_id", "e.replaces", "e.matches", "e.inserts", "e.deletes")
+
+
+@query("SELECT item_id, [CASE WHEN i % 3 = 1 THEN 'B-X' ELSE 'O' END FOR i IN range(0, len(string_split(g, ' ')))] AS labels FROM (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS g FROM benchmark)")
+def propagated_labels(t, spark):
+    n = _noisy(t).select("item_id", F.split("gt", " ").alias("a"), F.split("noise", " ").alias("b"))
+    labels = F.transform("a", lambda x, i: F.when(i % 3 == 1, "B-X").otherwise("O"))
+    return n.select("item_id", align.propagated(labels, "a", "b").alias("labels"))
+
+
+@query("SELECT 1 AS id, ['B-A', 'I-A', 'O', 'B-A', 'B-C', 'I-C', 'B-A'] AS labels")
+def orphan_label_fix(t, spark):
+    return spark.createDataFrame([(1, ["B-A", "I-A", "O", "I-A", "I-C", "I-C", "I-A"])], "id int, labels array<string>").select("id", align.corrected_labels(F.col("labels")).alias("labels"))
+
+
+@query("""
+WITH t AS (SELECT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark), c AS (SELECT item_id, lower(w) AS l, count(*) AS n FROM t WHERE w <> '' GROUP BY ALL)
+SELECT b.item_id, (count(*) FILTER (n = 1))::INT AS n FROM benchmark b LEFT JOIN c USING (item_id) GROUP BY b.item_id
+""")
+def unique_words(t, spark):
+    return t("benchmark").select("item_id", F.size(align.unique_words(F.filter(F.split("text", " "), lambda w: w != ""))).alias("n"))
