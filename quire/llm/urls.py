@@ -135,6 +135,8 @@ def publish(spark, rules: Iterable[tuple[str, str, str]]) -> str:
     """The array as a file that Spark hands to every executor, also to those that join later; its name."""
     packed = DigestArray.pack(rules)
     name = f"digests-{hashlib.sha256(packed).hexdigest()[:16]}.bin"
+    if any(f.endswith(f"/{name}") for f in spark.sparkContext.listFiles):  # the name says what is in it
+        return name
     folder = os.path.realpath(tempfile.mkdtemp(prefix="quire-"))  # the driver's own; Spark's file server reads it
     with open(f"{folder}/{name}", "wb") as f:
         f.write(packed)
