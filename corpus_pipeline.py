@@ -30,8 +30,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; shingles of five words."""
-    return simhash.keep_one(docs, words=5)
+    """The document with the smallest id of each group of near duplicates: shingles of five words, 0.8 alike or more."""
+    return simhash.keep_one(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ query's own component are passed over, so a group of near copies costs no square
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,23 +38,31 @@ FRONTIER = 1_000_000
 BATCH = 200_000
 
 
-def simhash(text: bytes | None, words: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint of UTF-8 bytes as an unsigned 64-bit number; 0 where there is no word."""
+def shingle_hashes(text: bytes | None, words: int, seed: int = SEED) -> np.ndarray:
+    """The XXH64 of each word shingle, repeats included; of fewer words, that of the whole sequence; of none, none."""
     found = (text or b"").lower().split()
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    m = max(1, len(found) - words + 1)
+    last = ends[words - 1 :] if len(found) >= words else ends[-1:]
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts[: len(last)].tolist(), last.tolist(), strict=True)), np.uint64, len(last))
+
+
+def majority(h: np.ndarray) -> int:
+    """64 bits, each 1 if more than half of the hashes have it; 0 of none."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, m, 8192):
-        to = min(m, at + 8192)
-        last = ends[at + words - 1 : to + words - 1] if len(found) >= words else ends[-1:]
-        h = np.array([digest(joined[s:e], seed) for s, e in zip(starts[at:to].tolist(), last.tolist(), strict=True)], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > m, bitorder="little").view("<u8")[0])
+    for at in range(0, len(h), 8192):
+        part = np.ascontiguousarray(h[at : at + 8192]).astype("<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0]) if len(h) else 0
+
+
+def simhash(text: bytes | None, words: int = SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint of UTF-8 bytes as an unsigned 64-bit number; 0 where there is no word."""
+    return majority(shingle_hashes(text, words, seed))
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -165,6 +174,27 @@ class GrayIndex:
         return self.order[mine], self.order[self.label[mine]]
 
 
+def _stars(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, members, firsts) of some buckets at a time. The first two columns name the bucket, and rows come
+    sorted by them; the third is the fingerprint. A bucket's rows are held together as numbers."""
+    held: list[np.ndarray] = []
+
+    def linked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        new = np.concatenate(([True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)))
+        return rows, *GrayIndex(np.cumsum(new), rows[2].view(np.uint64), limit).link()
+
+    for batch in batches:
+        held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]))
+        if sum(x.shape[1] for x in held) >= BATCH:
+            rows = np.concatenate(held, axis=1)
+            done = int((rows[:2] == rows[:2, -1:]).all(axis=0).argmax())  # the last bucket may go on
+            held = [rows[:, done:]]
+            if done:
+                yield linked(np.ascontiguousarray(rows[:, :done]))
+    if sum(x.shape[1] for x in held):
+        yield linked(np.concatenate(held, axis=1))
+
+
 def masks(limit: int, blocks: int) -> list[int]:
     """Bit masks such that any two 64-bit numbers that differ in at most limit bits agree under one of them."""
     edge = [64 * i // blocks for i in range(blocks + 1)]
@@ -182,25 +212,8 @@ def links(fps: DataFrame, limit: int = LIMIT, blocks: int | None = None) -> Data
     signed = [m - (1 << 64) if m >> 63 else m for m in masks(limit, blocks)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def linked(rows: np.ndarray) -> pa.RecordBatch:
-            new = np.concatenate(([True], (rows[:, 1:] != rows[:, :-1])[:2].any(axis=0)))
-            fp = rows[2].view(np.uint64)
-            a, b = GrayIndex(np.cumsum(new), fp, limit).link()
-            return pa.RecordBatch.from_arrays([pa.array(rows[2][a]), pa.array(rows[2][b])], names=["u", "v"])
-
-        for batch in batches:
-            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("mask", "bits", "fp")]))
-            if sum(x.shape[1] for x in held) >= BATCH:
-                rows = np.concatenate(held, axis=1)
-                last = rows[:2, -1:]
-                done = int((rows[:2] == last).all(axis=0).argmax())  # the last bucket may go on
-                held = [rows[:, done:]]
-                if done:
-                    yield linked(np.ascontiguousarray(rows[:, :done]))
-        if held and sum(x.shape[1] for x in held):
-            yield linked(np.concatenate(held, axis=1))
+        for (_, _, fp), a, b in _stars(batches, ("mask", "bits", "fp"), limit):
+            yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
 
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits"), F.col("fp")) for i, m in enumerate(signed)]))
     return fps.select(each.alias("x")).select("x.*").repartition("mask", "bits").sortWithinPartitions("mask", "bits").mapInArrow(run, "u bigint, v bigint")
@@ -224,11 +237,102 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
     return rows.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE) -> DataFrame:
-    """docs without near duplicates: of each component the row with the smallest doc_id stays, once.
+#: Words of a long fingerprint, and the share of similar pairs that may escape all tables.
+WIDE, MISSED = 4, 0.01
+
+
+def apart(similarity: float) -> float:
+    """The share of bits in which the fingerprints of two texts of that Jaccard similarity differ on average.
+
+    The cosine of two sets of one size is 2 s / (1 + s), and a bit differs with the angle's share of a half turn.
+    """
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def tables_for(n: int, similarity: float) -> tuple[int, int]:
+    """(tables, bits): patterns long enough that unlike texts seldom meet, tables enough that like ones do once."""
+    bits = max(12, math.ceil(math.log2(max(2, n))) - 1)
+    return math.ceil(math.log(MISSED) / math.log(1 - (1 - apart(similarity)) ** bits)), bits
+
+
+def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, w0, w1, ...): long fingerprints; the words after the first are of remixed shingle hashes."""
+    tune(docs.sparkSession)
+    odd = [0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64) for j in range(1, WIDE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t in b.column("b").to_pylist():
+                h = shingle_hashes(t, words)
+                row = [majority(h)]
+                for o in odd:
+                    x = (h ^ (h >> np.uint64(31))) * np.uint64(o)
+                    row.append(majority(x ^ (x >> np.uint64(29))))
+                out.append(row)
+            fps = np.array(out, np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(fps[:, j].copy()) for j in range(WIDE)]], names=["doc_id", *[f"w{j}" for j in range(WIDE)]])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).mapInArrow(run, "doc_id bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)))
+
+
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(heads, links): the smallest doc_id of each set of equal fingerprints (id), and pairs (u, v) of them that
+    connect texts whose shingle sets have that Jaccard similarity or more.
+
+    Texts that are but 0.8 alike differ in a seventh of the bits, too many for masks that leave none out. So
+    the masks are random patterns of a long fingerprint: like texts agree in one of them but for a chance of
+    MISSED, and each bucket is searched by the same index with a wider limit. What it finds is then compared
+    by whole shingle sets; nothing is decided by fingerprints alone, but that equal ones are copies.
+    """
+    spark = docs.sparkSession
+    columns = [f"w{j}" for j in range(WIDE)]
+    heads = cut(wide_fingerprints(docs.where("doc_id is not null"), words).groupBy(*columns).agg(F.min("doc_id").alias("id")))
+    tables, bits = tables_for(heads.count(), similarity)
+    p = apart(similarity)
+    limit = math.ceil(64 * p + 3 * math.sqrt(64 * p * (1 - p)))
+    rng = np.random.default_rng(SEED)
+    chosen = np.array([np.sort(rng.choice(64 * WIDE, bits, replace=False)) for _ in range(tables)])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in columns], axis=1).astype("<i8")
+            bit = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
+            key = np.stack([bit[:, c].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64)) for c in chosen], axis=1)
+            n = len(fps)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(key.ravel()), pa.array(np.repeat(fps[:, 0], tables)), pa.array(np.repeat(b.column("id").to_numpy(zero_copy_only=False), tables))],
+                names=["mask", "bits", "fp", "id"],
+            )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, a, b in _stars(batches, ("mask", "bits", "fp", "id"), limit):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[3][a], rows[3][b])), pa.array(np.maximum(rows[3][a], rows[3][b]))], names=["u", "v"])
+
+    dealt = heads.mapInArrow(deal, "mask int, bits bigint, fp bigint, id bigint").repartition("mask", "bits").sortWithinPartitions("mask", "bits")
+    pairs = cut(dealt.mapInArrow(search, "u bigint, v bigint").distinct())
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("b").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s"])
+
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).join(asked, "doc_id", "left_semi")
+    shingled = cut(texts.mapInArrow(sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]))
+    left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    alike = common >= similarity * (F.size("a") + F.size("b") - common)
+    return heads.select("id"), pairs.join(left, "u").join(right, "v").where(alike).select("u", "v")
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without near duplicates: of each component of similar() the row with the smallest doc_id stays, once.
 
-    doc_id is the key; rows with a null doc_id can't be named by one and stay.
+    doc_id is the key; rows with a null doc_id can't be named by one and stay. Null and empty texts are
+    copies of each other. An empty table gives no rows.
     """
-    first = near_duplicates(docs.select("doc_id", "text"), limit, words).where("doc_id = component_id").select("doc_id").distinct()
+    heads, links_ = similar(docs, words, similarity)
+    first = heads.join(components(links_), F.col("id") == F.col("node"), "left_anti").select(F.col("id").alias("doc_id"))
     named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
