@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, tune
+from .common import bounded_broadcast, cut, tune
 from .components import components
 
 SHINGLE = 4
@@ -239,6 +239,8 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
 
 #: Words of a long fingerprint, and the share of similar pairs that may escape all tables.
 WIDE, MISSED = 4, 0.01
+#: Ids of texts to be compared are broadcast if there are so many at most; more are joined by a shuffle.
+ASKED = 500_000
 
 
 def apart(similarity: float) -> float:
@@ -310,14 +312,19 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[3][a], rows[3][b])), pa.array(np.maximum(rows[3][a], rows[3][b]))], names=["u", "v"])
 
     dealt = heads.mapInArrow(deal, "mask int, bits bigint, fp bigint, id bigint").repartition("mask", "bits").sortWithinPartitions("mask", "bits")
-    pairs = cut(dealt.mapInArrow(search, "u bigint, v bigint").distinct())
+    near = dealt.mapInArrow(search, "u bigint, v bigint").distinct()
+    # The whole fingerprints of a pair are known to differ in so many bits at most, but for a chance of 1 in 4000.
+    wide = math.ceil(64 * WIDE * p + 3.5 * math.sqrt(64 * WIDE * p * (1 - p)))
+    of = lambda side: heads.select(F.col("id").alias(side), F.array(*columns).alias(f"{side}_fp"))
+    differing = F.aggregate(F.zip_with("u_fp", "v_fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, x: acc + x)
+    pairs = cut(near.join(of("u"), "u").join(of("v"), "v").where(differing <= wide).select("u", "v"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("b").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s"])
 
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    asked = bounded_broadcast(cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()), ASKED)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).join(asked, "doc_id", "left_semi")
     shingled = cut(texts.mapInArrow(sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]))
     left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
