@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import align, invoices, records, sampling, stats, tables
+from ..operators import align, documents, invoices, records, sampling, stats, tables
 from . import planning
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -604,3 +604,33 @@ SELECT b.item_id, (count(*) FILTER (n = 1))::INT AS n FROM benchmark b LEFT JOIN
 """)
 def unique_words(t, spark):
     return t("benchmark").select("item_id", F.size(align.unique_words(F.filter(F.split("text", " "), lambda w: w != ""))).alias("n"))
+
+
+# --- generated bills, their layout and page images ---
+
+
+def _bills(t):
+    return documents.receipts(t("orders").select(F.col("o_orderkey").alias("seed")))
+
+
+@query()
+def generated_receipts(t, spark):
+    return documents.ground_truth(_bills(t))
+
+
+@query("SELECT o_orderkey AS seed, ['line'] AS problems FROM orders WHERE false")
+def receipt_problems(t, spark):
+    return documents.receipt_problems(_bills(t))
+
+
+@query("SELECT o_orderkey AS seed, 0 AS row FROM orders WHERE false")
+def layout_overflow(t, spark):
+    return documents.cell_overflow(documents.cells(_bills(t))).select("seed", "row")
+
+
+@query()
+def image_effects(t, spark):
+    page = F.rpad(F.lit("").cast("binary"), 64 * 48, F.lit(bytearray([230])))
+    rows = t("nation").select("n_nationkey", page.alias("image"))
+    out = rows.select("n_nationkey", *[documents.degraded(n)(F.col("image"), F.lit(64), F.col("n_nationkey")).alias(n) for n in documents.EFFECTS])
+    return out.select("n_nationkey", *[F.sha2(n, 256).alias(n) for n in documents.EFFECTS])
