@@ -37,7 +37,7 @@ SAMPLES = 2
 #: Exponent of the probabilities: below 1, samples differ more from the best segmentation.
 ALPHA = 0.5
 #: Characters of the texts that are sampled together.
-TOGETHER = 1_500_000
+TOGETHER = 2_500_000
 
 #: Words of at most so many characters have masses that doubles hold as they are.
 PLAIN = 60
@@ -464,7 +464,7 @@ def sampled(docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA)
     samples. round_trip says whether ids decode to the text. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    tune(spark)
+    tune(spark, 768)
     known = Vocabulary.load(model, alpha)
     shared = spark.sparkContext.broadcast((known.pieces, known.log_prob, known.byte_id))  # as large as the model's vocabulary
     schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("gumbel", pa.float64()), ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())])
