@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, cut, tune
+from .common import bounded_broadcast, cut, salted_join, tune
 from .components import components
 
 SHINGLE = 4
@@ -232,9 +232,9 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
     of = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "fp")
     grouped = of.join(fps, "fp")
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of.join(ids, "root").select("fp", "component_id")
+    named = salted_join(of, ids, "root").select("fp", "component_id")
     label = fps.join(named.withColumn("linked", F.lit(True)), "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(label, "fp").select("doc_id", "fp", "component_id")
+    return salted_join(rows, label, "fp").select("doc_id", "fp", "component_id")
 
 
 #: Words of a long fingerprint, and the share of similar pairs that may escape all tables.
