@@ -312,12 +312,13 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[3][a], rows[3][b])), pa.array(np.maximum(rows[3][a], rows[3][b]))], names=["u", "v"])
 
     dealt = heads.mapInArrow(deal, "mask int, bits bigint, fp bigint, id bigint").repartition("mask", "bits").sortWithinPartitions("mask", "bits")
-    near = dealt.mapInArrow(search, "u bigint, v bigint").distinct()
+    near = cut(dealt.mapInArrow(search, "u bigint, v bigint").distinct())
     # The whole fingerprints of a pair are known to differ in so many bits at most, but for a chance of 1 in 4000.
     wide = math.ceil(64 * WIDE * p + 3.5 * math.sqrt(64 * WIDE * p * (1 - p)))
     of = lambda side: heads.select(F.col("id").alias(side), F.array(*columns).alias(f"{side}_fp"))
     differing = F.aggregate(F.zip_with("u_fp", "v_fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, x: acc + x)
-    pairs = cut(near.join(of("u"), "u").join(of("v"), "v").where(differing <= wide).select("u", "v"))
+    both = salted_join(salted_join(near, of("u"), "u"), of("v"), "v", near)
+    pairs = cut(both.where(differing <= wide).select("u", "v"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -330,7 +331,8 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
     left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
     common = F.size(F.array_intersect("a", "b"))
     alike = common >= similarity * (F.size("a") + F.size("b") - common)
-    return heads.select("id"), pairs.join(left, "u").join(right, "v").where(alike).select("u", "v")
+    both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
+    return heads.select("id"), both.where(alike).select("u", "v")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
