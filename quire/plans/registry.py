@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import align, documents, invoices, records, sampling, stats, tables
+from ..operators import align, documents, images, invoices, records, sampling, stats, tables
 from . import planning
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -634,3 +634,13 @@ def image_effects(t, spark):
     rows = t("nation").select("n_nationkey", page.alias("image"))
     out = rows.select("n_nationkey", *[documents.degraded(n)(F.col("image"), F.lit(64), F.col("n_nationkey")).alias(n) for n in documents.EFFECTS])
     return out.select("n_nationkey", *[F.sha2(n, 256).alias(n) for n in documents.EFFECTS])
+
+
+@query()
+def image_chains(t, spark):
+    """A page with a dark part, through chains that hold every action at least once."""
+    page = F.concat(*[F.rpad(F.lit("").cast("binary"), n, F.lit(bytearray([v]))) for n, v in ((640, 230), (320, 20), (576, 230))])
+    chains = {n: [(n, {})] for n in images.ACTIONS} | {"aged": [("ink_decay", {"level": 5}), ("show_through", {}), ("gaussian_blur", {"radius": 1}), ("overlay_weighted", {"background": images.ORIGINAL, "alpha": 0.7, "beta": 0.3})]}
+    rows = t("nation").select("n_nationkey", page.alias("image"))
+    out = rows.select("n_nationkey", *[images.chained(c)(F.col("image"), F.lit(64), F.col("n_nationkey")).alias(n) for n, c in chains.items()])
+    return out.select("n_nationkey", *[F.sha2(n, 256).alias(n) for n in chains])
