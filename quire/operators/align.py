@@ -195,3 +195,39 @@ def unique_words(tokens: Column) -> Column:
     """Words whose lower-case form occurs once, in order."""
     low = F.transform(tokens, F.lower)
     return F.filter(tokens, lambda t: F.size(F.filter(low, lambda x: x == F.lower(t))) == 1)
+
+
+def gap_runs(df: DataFrame, pair: str, gap: str = GAP_CHAR) -> DataFrame:
+    """df with runs: array of struct(src, target, spacing, kind), one per longest stretch in which the pair differs.
+
+    src and target are without gaps and blanks at their ends; kind is insert, delete, replace or, where nothing
+    but blanks differ, spacing. spacing counts the blanks that meet a gap.
+    """
+    a, b = F.col("_a"), F.col("_b")
+    off = lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i))  # noqa: E731 - beyond both ends nothing differs
+    at = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+    out = df.withColumn("_a", F.split(f"{pair}.gt", "")).withColumn("_b", F.split(f"{pair}.noise", "")).withColumn("_at", at)
+    out = out.withColumn("_from", F.filter("_at", lambda i: off(i) & ~off(i - 1))).withColumn("_to", F.filter("_at", lambda i: off(i) & ~off(i + 1)))
+    part = lambda x, s, e: F.slice(x, s + 1, e - s + 1)
+    bare = lambda x: F.btrim(F.array_join(x, ""), F.lit(gap + " "))
+    blank = lambda x, y: ((x == gap) & (y == " ")) | ((x == " ") & (y == gap))
+
+    def run(s: Column, e: Column) -> Column:
+        spacing = F.size(F.filter(F.sequence(s, e), lambda i: blank(F.get(a, i), F.get(b, i))))
+        return F.struct(bare(part(a, s, e)).alias("src"), bare(part(b, s, e)).alias("target"), spacing.alias("spacing"))
+
+    kind = lambda r: F.when((r["src"] == "") & (r["target"] == ""), "spacing").when(r["src"] == "", "insert").when(r["target"] == "", "delete").otherwise("replace")
+    out = out.withColumn("_runs", F.zip_with("_from", "_to", run))
+    runs = F.transform("_runs", lambda r: F.struct(r["src"].alias("src"), r["target"].alias("target"), r["spacing"].alias("spacing"), kind(r).alias("kind")))
+    return out.withColumn("runs", runs).drop("_a", "_b", "_at", "_from", "_to", "_runs")
+
+
+def gap_stats(runs: DataFrame, key: str) -> DataFrame:
+    """(key, insert, delete, replace, spacing): how many stretches of each kind, and the blanks in all of them."""
+    n = lambda k: F.size(F.filter("runs", lambda r: r["kind"] == k)).alias(k)
+    return runs.select(key, n("insert"), n("delete"), n("replace"), F.aggregate("runs", F.lit(0), lambda acc, r: acc + r["spacing"]).alias("spacing"))
+
+
+def substitutions(runs: DataFrame) -> DataFrame:
+    """(src, target, n) over all rows of runs: what was replaced by what, and how often."""
+    return runs.select(F.explode("runs").alias("r")).where("r.kind = 'replace'").groupBy("r.src", "r.target").agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import align, documents, images, invoices, records, sampling, stats, tables
+from ..sources import files
 from . import planning
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -644,3 +645,39 @@ def image_chains(t, spark):
     rows = t("nation").select("n_nationkey", page.alias("image"))
     out = rows.select("n_nationkey", *[images.chained(c)(F.col("image"), F.lit(64), F.col("n_nationkey")).alias(n) for n, c in chains.items()])
     return out.select("n_nationkey", *[F.sha2(n, 256).alias(n) for n in chains])
+
+
+_CLEAN = "SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS g FROM benchmark"
+
+
+def _runs(t):
+    return align.gap_runs(_noisy(t).withColumn("p", align.aligned("gt", "noise")), "p")
+
+
+@query(f"SELECT item_id, 0 AS \"insert\", 0 AS \"delete\", len(regexp_extract_all(g, 't+'))::INT AS replace, 0 AS spacing FROM ({_CLEAN})")
+def gap_stats(t, spark):
+    return align.gap_stats(_runs(t), "item_id")
+
+
+@query(f"SELECT src, replace(src, 't', 'ł') AS target, count(*) AS n FROM (SELECT unnest(regexp_extract_all(g, 't+')) AS src FROM ({_CLEAN})) GROUP BY src")
+def substitutions(t, spark):
+    return align.substitutions(_runs(t))
+
+
+@query("SELECT conv_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn DESC, role) AS page FROM conversations GROUP BY conv_id")
+def reading_order(t, spark):
+    lines = F.array_sort(F.collect_list(F.struct((-F.col("turn")).alias("top"), "role", F.coalesce("text", F.lit("")).alias("text"))))
+    return t("conversations").groupBy("conv_id").agg(lines.alias("lines")).select("conv_id", files.reading_order(F.col("lines"), F.lit("")).alias("page"))
+
+
+@query(r"SELECT page_id, regexp_replace(regexp_replace(url, '^.*/', ''), '(.)\.[^.]*$', '\1') AS stem FROM pages")
+def file_stems(t, spark):
+    return t("pages").select("page_id", files.stem(F.col("url")).alias("stem"))
+
+
+@query("SELECT c_mktsegment AS backend, count(*) AS n, count(DISTINCT c_custkey) AS seeds, count(DISTINCT sha256(c_name)) AS labels FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 1) GROUP BY 1")
+def assembled_shards(t, spark):
+    records = t("customer").select(F.col("c_nationkey").alias("shard"), F.col("c_mktsegment").alias("backend"), F.col("c_custkey").alias("seed"), "c_name")
+    planned = t("nation").select(F.col("n_nationkey").alias("shard"), "n_regionkey")
+    done, _ = files.finished(planned.where("n_regionkey <> 1"), planned)
+    return files.assembled(records, done, "c_name")[1]

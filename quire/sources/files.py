@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 QUAD = "array<array<double>>"
@@ -70,3 +70,41 @@ def to_iob(tokens: DataFrame, key: str) -> DataFrame:
 def write_split(df: DataFrame, path: str, index: str, names: list[str]) -> None:
     """Rows dealt to named splits by index, one folder each."""
     df.withColumn("split", F.element_at(F.array(*map(F.lit, names)), (F.col(index) % len(names) + 1).cast("int"))).write.partitionBy("split").json(path)
+
+
+def without_blank_edge(text: Column, last: bool = False) -> Column:
+    """The text without its first (or last) line if that is blank and isn't the only one."""
+    lines = F.split(text, "\n")
+    rest = F.slice(lines, 1, F.size(lines) - 1) if last else F.slice(lines, 2, F.size(lines))
+    blank = F.trim(F.element_at(lines, -1 if last else 1)) == ""
+    return F.when((F.size(lines) > 1) & blank, F.array_join(rest, "\n")).otherwise(text)
+
+
+def reading_order(lines: Column, text: Column) -> Column:
+    """The texts of lines (array of struct(text, top)) from the top, joined by blanks; equal tops keep their order.
+    Without lines, text."""
+    placed = F.array_sort(F.transform(lines, lambda x, i: F.struct(x["top"].alias("top"), i.alias("i"), x["text"].alias("text"))))
+    return F.when(F.size(lines) > 0, F.array_join(F.transform(placed, lambda x: x["text"]), " ")).otherwise(text)
+
+
+def stem(path: Column) -> Column:
+    """A file's name without folder and last ending."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
+
+
+def paired(left: DataFrame, right: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Rows of two sets of files that go by one stem, and the paths on the left that have no partner."""
+    a, b = left.withColumn("stem", stem(F.col(path))), right.withColumn("stem", stem(F.col(path))).drop(path)
+    return a.join(b, "stem"), a.join(b, "stem", "left_anti").select(path)
+
+
+def finished(marks: DataFrame, planned: DataFrame, shard: str = "shard") -> tuple[DataFrame, DataFrame]:
+    """Planned shards that have a completion mark, and those that have none."""
+    done = marks.select(shard).distinct()
+    return planned.join(done, shard, "left_semi"), planned.join(done, shard, "left_anti")
+
+
+def assembled(records: DataFrame, done: DataFrame, label: str, shard: str = "shard", by: str = "backend") -> tuple[DataFrame, DataFrame]:
+    """Records of finished shards, and per backend how many they are, of how many distinct seeds and labels."""
+    rows = records.join(done.select(shard).distinct(), shard, "left_semi")
+    return rows, rows.groupBy(by).agg(F.count("*").alias("n"), F.count_distinct("seed").alias("seeds"), F.count_distinct(F.sha2(label, 256)).alias("labels"))
