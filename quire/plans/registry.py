@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import markup
 from ..functions import text as T
 from ..operators import align, documents, images, invoices, records, sampling, stats, tables
 from ..sources import files
@@ -681,3 +682,49 @@ def assembled_shards(t, spark):
     planned = t("nation").select(F.col("n_nationkey").alias("shard"), "n_regionkey")
     done, _ = files.finished(planned.where("n_regionkey <> 1"), planned)
     return files.assembled(records, done, "c_name")[1]
+
+
+# --- markup of sheets ---
+
+_ESC = """replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;')"""
+
+
+@query(f"""SELECT doc_id, CASE WHEN regexp_matches(text, '[^\\t\\n\\x0B\\f\\r ]') THEN '<span data-kind="text">' || {_ESC.format('text')} || '</span>' ELSE '' END AS markup FROM documents""")
+def labelled_markup(t, spark):
+    return t("documents").select("doc_id", markup.labelled(F.lit("text"), F.col("text")).alias("markup"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, '<td data-cell="item" data-row="' || l_linenumber || '" data-col="0"' || CASE WHEN l_linenumber > 1 THEN ' colspan="' || l_linenumber || '"' ELSE '' END || '>' || l_returnflag || '</td>' AS cell FROM lineitem""")
+def cell_markup(t, spark):
+    n = F.col("l_linenumber")
+    return t("lineitem").select("l_orderkey", "l_linenumber", markup.table_cell("td", n, F.lit(0), F.col("l_returnflag"), F.lit("item"), n).alias("cell"))
+
+
+@query("""SELECT c_custkey, '<div class="f dot"><span class="k"><span data-kind="invoice.field.label">' || c_mktsegment || '</span></span><span class="v"><span data-kind="invoice.field">' || c_name || '</span></span></div>' AS line FROM customer""")
+def field_lines(t, spark):
+    return t("customer").select("c_custkey", markup.field_line(F.col("c_mktsegment"), F.col("c_name"), dotted=True).alias("line"))
+
+
+_SHEET = "SELECT o_custkey AS sheet, o_orderkey AS pos, (o_orderkey % 13)::INT AS width FROM orders"
+
+
+def _sheet(t):
+    return t("orders").select(F.col("o_custkey").alias("sheet"), F.col("o_orderkey").alias("pos"), (F.col("o_orderkey") % 13).cast("int").alias("width"))
+
+
+@query(f"""
+WITH w AS (SELECT *, CASE WHEN width = 0 THEN greatest(76 - sum(width) OVER (PARTITION BY sheet), 8) ELSE width END AS w FROM ({_SHEET})),
+u AS (SELECT *, sum(w) OVER (PARTITION BY sheet ORDER BY pos) AS u, pos = max(pos) OVER (PARTITION BY sheet) AS ends FROM w)
+SELECT sheet, pos, width, least(u - w + 2, 78)::INT AS col0, (CASE WHEN ends THEN 78 ELSE least(u + 2, 78) - 3 END)::INT AS col1 FROM u
+""")
+def column_spans(t, spark):
+    return markup.column_spans(_sheet(t), "sheet", "pos", "width", 80, 3, 2)
+
+
+@query(f"""
+WITH f AS (SELECT *, sum(width) OVER (PARTITION BY sheet) AS fixed, count(*) FILTER (width = 0) OVER (PARTITION BY sheet) AS free FROM ({_SHEET})),
+p AS (SELECT *, CASE WHEN width = 0 THEN 100.0::DOUBLE * greatest(80 - fixed, free * 8) / free / 80 ELSE 100.0::DOUBLE * width / 80 END AS p FROM f)
+SELECT sheet, pos, width, round(p + CASE WHEN pos = min(CASE WHEN width = 0 THEN pos END) OVER (PARTITION BY sheet) THEN 100 - sum(p) OVER (PARTITION BY sheet) ELSE 0 END, 6) + 0.0 AS pct FROM p
+""")
+def column_percents(t, spark):
+    return markup.column_percents(_sheet(t), "sheet", "pos", "width", 80).withColumn("pct", F.round("pct", 6) + 0.0)
