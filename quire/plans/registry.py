@@ -651,18 +651,18 @@ def image_chains(t, spark):
 _CLEAN = "SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS g FROM benchmark"
 
 
-def _runs(t):
+def _gaps(t):
     return align.gap_runs(_noisy(t).withColumn("p", align.aligned("gt", "noise")), "p")
 
 
 @query(f"SELECT item_id, 0 AS \"insert\", 0 AS \"delete\", len(regexp_extract_all(g, 't+'))::INT AS replace, 0 AS spacing FROM ({_CLEAN})")
 def gap_stats(t, spark):
-    return align.gap_stats(_runs(t), "item_id")
+    return align.gap_stats(_gaps(t), "item_id")
 
 
 @query(f"SELECT src, replace(src, 't', 'ł') AS target, count(*) AS n FROM (SELECT unnest(regexp_extract_all(g, 't+')) AS src FROM ({_CLEAN})) GROUP BY src")
 def substitutions(t, spark):
-    return align.substitutions(_runs(t))
+    return align.substitutions(_gaps(t))
 
 
 @query("SELECT conv_id, string_agg(coalesce(text, ''), ' ' ORDER BY turn DESC, role) AS page FROM conversations GROUP BY conv_id")
