@@ -241,6 +241,8 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
 WIDE, MISSED = 4, 0.01
 #: Ids of texts to be compared are broadcast if there are so many at most; more are joined by a shuffle.
 ASKED = 500_000
+#: Documents whose shingles are counted, and the most frequent of these shingles that are kept.
+SAMPLED, COMMON = 20_000, 200_000
 
 
 def apart(similarity: float) -> float:
@@ -278,6 +280,86 @@ def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).mapInArrow(run, "doc_id bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)))
 
 
+def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of doc_ids whose texts' shingle sets have that Jaccard similarity or more."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("b").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s"])
+
+    asked = bounded_broadcast(cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()), ASKED)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).join(asked, "doc_id", "left_semi")
+    shingled = cut(texts.mapInArrow(sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]))
+    left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    enough = common >= similarity * (F.size("a") + F.size("b") - common)
+    both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
+    return both.where(enough).select("u", "v")
+
+
+def common_shingles(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts), sorted by hash: shingles that several of some SAMPLED documents hold, the COMMON most frequent.
+
+    n: documents. It only orders shingles, so that prefixes begin with rare ones; any order finds all pairs.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, words)) for t in b.column("b").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], names=["h"])
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // SAMPLED))) == 0).select(F.col("text").cast("binary").alias("b"))
+    rows = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("c")).where("c >= 3").orderBy(F.desc("c"), "h").limit(COMMON).collect()
+    h, c = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.c for r in rows], np.int64)
+    order = np.argsort(h)
+    return h[order], c[order]
+
+
+def prefix(h: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, rare ones first: two sets of that similarity or more share one of their prefixes'."""
+    if not len(h):
+        return h
+    n = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
+    count = np.zeros(len(h), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], h), len(common[0]) - 1)
+        count = np.where(common[0][at] == h, common[1][at], 0)
+    return h[np.lexsort((h, count))[:n]]
+
+
+def candidates(docs: DataFrame, labels: DataFrame, n: int, words: int, similarity: float) -> DataFrame:
+    """(u, v): ids of unlike labels whose texts may have that similarity; none that have it is left out.
+
+    labels (id, root), n of them. Pairs are made where prefixes meet, only at shingles that distinct labels
+    share, and never inside a label: a group of near copies that is known already makes none.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(common_shingles(docs, n, words))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t, words)) for t in b.column("b").to_pylist()]
+            keys = [prefix(h, shared.value, similarity).view(np.int64) for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(h) for h in sets], pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "keys"])
+
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("b"))
+    known = cut(texts.mapInArrow(each, "id bigint, n int, keys array<bigint>").join(labels, "id"))
+    rows = known.select("id", "root", "n", F.posexplode("keys").alias("pos", "key"))
+    mixed = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key"))
+    few = mixed.limit(ASKED + 1).count() <= ASKED
+    open_ = cut(rows.join(F.broadcast(mixed), "key") if few else salted_join(rows, mixed, "key"))
+    # At each shingle, what isn't of its largest label meets all the others.
+    most = open_.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("hub"))
+    rest = salted_join(open_, most, "key").where("root <> hub").select("key", "hub", *[F.col(c).alias(f"_{c}") for c in ("id", "root", "n", "pos")])
+    both = salted_join(open_, rest, "key").where("root <> _root and (root = hub or id < _id)")
+    least, most_ = F.least("n", "_n"), F.greatest("n", "_n")
+    # Of the first shingle that two prefixes share, what follows in the shorter rest is all they can share.
+    left = F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos"))
+    near = both.where((least >= similarity * most_ - 1e-6) & (left >= similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6))
+    return near.select(F.least("id", "_id").alias("u"), F.greatest("id", "_id").alias("v")).where("u < v").distinct()
+
+
 def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(heads, links): the smallest doc_id of each set of equal fingerprints (id), and pairs (u, v) of them that
     connect texts whose shingle sets have that Jaccard similarity or more.
@@ -286,11 +368,14 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
     the masks are random patterns of a long fingerprint: like texts agree in one of them but for a chance of
     MISSED, and each bucket is searched by the same index with a wider limit. What it finds is then compared
     by whole shingle sets; nothing is decided by fingerprints alone, but that equal ones are copies.
+
+    A bucket yields stars, and a star's edge may fail though two of its members are alike. So this only
+    finds most groups cheaply; candidates() then finds each like pair that is still apart, without chance.
     """
-    spark = docs.sparkSession
     columns = [f"w{j}" for j in range(WIDE)]
     heads = cut(wide_fingerprints(docs.where("doc_id is not null"), words).groupBy(*columns).agg(F.min("doc_id").alias("id")))
-    tables, bits = tables_for(heads.count(), similarity)
+    n = heads.count()
+    tables, bits = tables_for(n, similarity)
     p = apart(similarity)
     limit = math.ceil(64 * p + 3 * math.sqrt(64 * p * (1 - p)))
     rng = np.random.default_rng(SEED)
@@ -301,9 +386,8 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
             fps = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in columns], axis=1).astype("<i8")
             bit = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
             key = np.stack([bit[:, c].astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64)) for c in chosen], axis=1)
-            n = len(fps)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(key.ravel()), pa.array(np.repeat(fps[:, 0], tables)), pa.array(np.repeat(b.column("id").to_numpy(zero_copy_only=False), tables))],
+                [pa.array(np.tile(np.arange(tables, dtype=np.int32), len(fps))), pa.array(key.ravel()), pa.array(np.repeat(fps[:, 0], tables)), pa.array(np.repeat(b.column("id").to_numpy(zero_copy_only=False), tables))],
                 names=["mask", "bits", "fp", "id"],
             )
 
@@ -320,19 +404,11 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
     both = salted_join(salted_join(near, of("u"), "u"), of("v"), "v", near)
     pairs = cut(both.where(differing <= wide).select("u", "v"))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("b").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s"])
-
-    asked = bounded_broadcast(cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()), ASKED)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).join(asked, "doc_id", "left_semi")
-    shingled = cut(texts.mapInArrow(sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]))
-    left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    alike = common >= similarity * (F.size("a") + F.size("b") - common)
-    both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
-    return heads.select("id"), both.where(alike).select("u", "v")
+    known = components(alike(docs, pairs, words, similarity))
+    labels = cut(heads.join(known, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
+    rest = cut(candidates(docs, labels, n, words, similarity))
+    found = alike(docs, rest, words, similarity)
+    return heads.select("id"), known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found)
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
