@@ -260,24 +260,26 @@ def tables_for(n: int, similarity: float) -> tuple[int, int]:
 
 
 def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, w0, w1, ...): long fingerprints; the words after the first are of remixed shingle hashes."""
+    """(doc_id, sig, w0, w1, ...): long fingerprints of shingle sets; sig is the set's own hash, and the words after
+    the first are of remixed shingle hashes."""
     tune(docs.sparkSession)
     odd = [0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64) for j in range(1, WIDE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            out, sig = [], []
             for t in b.column("b").to_pylist():
-                h = shingle_hashes(t, words)
+                h = np.unique(shingle_hashes(t, words))
+                sig.append(xxhash.xxh64_intdigest(h.astype("<u8").tobytes(), SEED))
                 row = [majority(h)]
                 for o in odd:
                     x = (h ^ (h >> np.uint64(31))) * np.uint64(o)
                     row.append(majority(x ^ (x >> np.uint64(29))))
                 out.append(row)
             fps = np.array(out, np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(fps[:, j].copy()) for j in range(WIDE)]], names=["doc_id", *[f"w{j}" for j in range(WIDE)]])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(sig, np.uint64).view(np.int64)), *[pa.array(fps[:, j].copy()) for j in range(WIDE)]], names=["doc_id", "sig", *[f"w{j}" for j in range(WIDE)]])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).mapInArrow(run, "doc_id bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).mapInArrow(run, "doc_id bigint, sig bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)))
 
 
 def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -361,19 +363,20 @@ def candidates(docs: DataFrame, labels: DataFrame, n: int, words: int, similarit
 
 
 def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(heads, links): the smallest doc_id of each set of equal fingerprints (id), and pairs (u, v) of them that
+    """(heads, links): the smallest doc_id of each shingle set (id), and pairs (u, v) of them that
     connect texts whose shingle sets have that Jaccard similarity or more.
 
     Texts that are but 0.8 alike differ in a seventh of the bits, too many for masks that leave none out. So
     the masks are random patterns of a long fingerprint: like texts agree in one of them but for a chance of
     MISSED, and each bucket is searched by the same index with a wider limit. What it finds is then compared
-    by whole shingle sets; nothing is decided by fingerprints alone, but that equal ones are copies.
+    by whole shingle sets; nothing is decided by fingerprints alone.
+    Sets whose hash and fingerprint are equal are copies.
 
     A bucket yields stars, and a star's edge may fail though two of its members are alike. So this only
     finds most groups cheaply; candidates() then finds each like pair that is still apart, without chance.
     """
     columns = [f"w{j}" for j in range(WIDE)]
-    heads = cut(wide_fingerprints(docs.where("doc_id is not null"), words).groupBy(*columns).agg(F.min("doc_id").alias("id")))
+    heads = cut(wide_fingerprints(docs.where("doc_id is not null"), words).groupBy("sig", *columns).agg(F.min("doc_id").alias("id")))
     n = heads.count()
     tables, bits = tables_for(n, similarity)
     p = apart(similarity)

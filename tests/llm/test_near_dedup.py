@@ -52,3 +52,18 @@ def test_pairs_inside_a_family(spark):
     want = brute_force(rows)
     assert len(want) == 120
     assert kept(spark, rows) == want
+
+
+def test_repeated_passages(spark):
+    """A passage that occurs once in one text and often in its twin; and unlike texts that one repeated shingle outweighs."""
+    r = random.Random(2)
+    texts = []
+    for _ in range(30):
+        passage, own = words(24, r), words(100, r)
+        texts += [" ".join(own + passage), " ".join(own + passage * 4)]
+    same = " ".join(["again"] * 200)
+    texts += [f"{same} {' '.join(words(60, r))}" for _ in range(6)]
+    rows = list(enumerate(texts))
+    want = brute_force(rows)
+    assert len(want) == 36
+    assert kept(spark, rows) == want
