@@ -21,12 +21,14 @@ all texts at once, one piece per step.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +43,16 @@ TOGETHER = 2_500_000
 
 #: Words of at most so many characters have masses that doubles hold as they are.
 PLAIN = 60
+#: So few walks are stepped through number by number, as arrays of a few cost more.
+FEW = 8
+#: Sets of paths are split off a path's first so many edges; more are looked at where these aren't enough.
+WINDOW = 384
 
 _WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-_LITERAL = b"_"  # of length 1; stands for a blank sign that is in the text itself
+_LITERAL = f"_{BLANK}"  # stands for a blank sign that is in the text itself; no other word ends in one after a letter
 _NO_CHAR = 0xFFFFFFFF
 _U = np.uint64
+_ALL = (1 << 64) - 1
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, _U(0xD1342543DE82EF95)
 
 
@@ -112,6 +119,7 @@ class Decoder:
             self.text[int(v.byte_id[b])] = chr(b)
         self.partial = np.zeros(len(v.pieces), bool)
         self.partial[v.byte_id[128:]] = True
+        self.raw = pa.array([self.bytes.get(i) or p.encode() for i, p in enumerate(self.text)], pa.large_binary())
 
     def __call__(self, ids: np.ndarray) -> str:
         text = self.text
@@ -121,12 +129,19 @@ class Decoder:
             out = b"".join([self.bytes[i] if i in self.bytes else text[i].encode() for i in ids.tolist()]).decode("utf-8", "replace")
         return out[1:] if out.startswith(" ") else out
 
+    def utf8(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The UTF-8 bytes of several texts, whose ids lie one after the other."""
+        each = self.raw.take(pa.array(ids))
+        at = np.frombuffer(each.buffers()[1], np.int64)[: len(ids) + 1][ends].tolist()
+        data = each.buffers()[2].to_pybytes() if at and at[-1] else b""
+        return [data[a + (data[a : a + 1] == b" ") : b] for a, b in zip([0, *at[:-1]], at, strict=True)]
 
-def words_of(text: str) -> list[str | bytes]:
+
+def words_of(text: str) -> list[str]:
     """The words that the lattice of a text is a chain of; a blank begins the text, and each space is one."""
     if not text:
         return []
-    out: list[str | bytes] = []
+    out: list[str] = []
     for i, part in enumerate(text.split(BLANK)):
         if i:
             out.append(_LITERAL)
@@ -135,33 +150,46 @@ def words_of(text: str) -> list[str | bytes]:
                 out.append("\n")
             if not i and not j:
                 line = f" {line}"
-            if "  " in line or line.endswith(" "):
-                out += _WORD.findall(line.replace(" ", BLANK))
-            elif line:
-                head, *rest = line.split(" ")
-                if head:
-                    out.append(head)
-                out += [BLANK + w for w in rest]
+            out += _WORD.findall(line.replace(" ", BLANK))
     return out
 
 
+def all_words(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of words_of() of all texts, and how many each text has."""
+    if any("\0" in text for text in texts):
+        each = [words_of(text) for text in texts]
+        return pa.array([w for ws in each for w in ws], pa.string()), np.fromiter(map(len, each), np.int64, len(each))
+    plain = lambda x: BLANK not in x and "  " not in x and x[:1] not in ("", " ")
+    marked = [(BLANK + x).replace(" ", f"\0{BLANK}").replace("\n", "\0\n\0") if plain(x) else "\0".join(words_of(x)) for x in texts]
+    parts = pc.split_pattern(pa.array(marked, pa.string()), "\0")
+    words = parts.flatten()
+    there = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    count = np.diff(np.concatenate(([0], np.cumsum(there)))[parts.offsets.to_numpy()])
+    return words.filter(pa.array(there)), count
+
+
 class Tables:
-    """Pieces by length and hash."""
+    """The pieces and all that they begin with, by hash: a trie whose nodes are entries of a hash table."""
 
     def __init__(self, v: Vocabulary):
         self.byte_prob = float(np.exp(v.log_prob[v.byte_id[0]]))
+        self.byte_id = v.byte_id.astype(np.int32)
         is_byte = np.zeros(len(v.pieces), bool)
         is_byte[v.byte_id] = True
-        by: dict[int, list[int]] = {}
+        number: dict[str, int] = {}
         for i in np.flatnonzero(~np.isnan(v.log_prob) & ~is_byte).tolist():
-            by.setdefault(len(v.pieces[i]), []).append(i)
-        self.longest = max(by)
+            for n in range(1, len(v.pieces[i])):
+                number.setdefault(v.pieces[i][:n], -1)
+            number[v.pieces[i]] = i
+        self.longest = max(map(len, number))
         self.power = [_U(pow(_BASE, j, 1 << 64)) for j in range(self.longest)]
-        self.ids = np.array([i for n in sorted(by) for i in by[n]])
-        self.hash = np.concatenate([self.hashes(np.array([[ord(c) for c in v.pieces[i]] for i in by[n]], np.uint32)) for n in sorted(by)])
-        self.prob = np.exp(v.log_prob[self.ids])
-        self.byte_id = v.byte_id.astype(np.int32)
-        # A slot holds the first piece that falls in it; the few others are found by binary search.
+        begins = sorted(number, key=len)
+        self.piece = np.array([number[p] for p in begins], np.int32)
+        self.prob = np.where(self.piece >= 0, np.exp(v.log_prob[self.piece]), 0.0)
+        self.hash = np.array([sum((ord(c) + 1) * int(x) for c, x in zip(p, self.power, strict=False)) % (1 << 64) for p in begins], _U)
+        goes_on = {p[:-1] for p in begins}
+        self.goes_on = np.array([p in goes_on for p in begins])
+        # A slot holds the first entry that falls in it; the few others are found by binary search.
         self.first = np.full(1 << 20, -1, np.int32)
         slot = self.slot(self.hash)
         self.first[slot[::-1]] = np.arange(len(slot), dtype=np.int32)[::-1]
@@ -170,23 +198,18 @@ class Tables:
         self.late_hash = np.append(self.hash[self.late], _U((1 << 64) - 1))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes are pieces, and of what number."""
+        """Which of the hashes are in the table, and at what entry."""
         at = self.first[self.slot(h)]
         maybe = np.flatnonzero(at >= 0)
         at = at[maybe]
-        wrong = np.flatnonzero(self.hash[at] != h[maybe])
-        if len(wrong) and len(self.late):
-            k = np.searchsorted(self.late_hash, h[maybe[wrong]])
-            at[wrong] = self.late[np.minimum(k, len(self.late) - 1)]
         hit = self.hash[at] == h[maybe]
+        wrong = np.flatnonzero(~hit)
+        if len(wrong) and len(self.late):
+            k = self.late[np.minimum(np.searchsorted(self.late_hash, h[maybe[wrong]]), len(self.late) - 1)]
+            at[wrong] = k
+            hit[wrong] = self.hash[k] == h[maybe[wrong]]
         return maybe[hit], at[hit]
 
-    def hashes(self, chars: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(chars), _U)
-        for j in range(chars.shape[1]):
-            out += (chars[:, j].astype(_U) + _U(1)) * self.power[j]
-        return out
-
     @staticmethod
     def slot(h: np.ndarray) -> np.ndarray:
         return (h * _SPREAD) >> _U(44)
@@ -200,34 +223,39 @@ class Lattice:
     of shares.
     """
 
-    def __init__(self, words: list[str | bytes], t: Tables):
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        has_literal = any(isinstance(w, bytes) for w in words)
+    def __init__(self, words: pa.StringArray, t: Tables):
+        length = pc.utf8_length(words).to_numpy().astype(np.int64)
+        literal = pc.equal(words, _LITERAL)
+        if pc.any(literal).as_py():
+            words = pc.if_else(literal, "\0", words)
+            length[literal.to_numpy(zero_copy_only=False)] = 1
+        order = np.argsort(length, kind="stable")
+        lit = literal.to_numpy(zero_copy_only=False)[order]
+        in_order = words.take(pa.array(order))
+        raw = in_order.buffers()[2]
+        size = int(np.frombuffer(in_order.buffers()[1], np.int32)[len(order)])
+        every = np.frombuffer(str(memoryview(raw)[:size], "utf-8").encode("utf-32-le"), np.uint32).copy() if size else np.zeros(0, np.uint32)
+        length = length[order]
+        every[(np.cumsum(length) - length)[lit]] = _NO_CHAR
         self.root = np.zeros(len(words), np.int64)
         parts: list[tuple[np.ndarray, ...]] = []
-        counts: list[np.ndarray] = []
         self.char: list[np.ndarray] = []
-        nodes = 0
-        order = np.argsort(length, kind="stable")
-        for group in np.split(order, np.flatnonzero(np.diff(length[order])) + 1) if len(order) else []:
-            n = int(length[group[0]])
-            each = max(1, 150_000 // n)
-            for at in range(0, len(group), each):
-                part = group[at : at + each]
-                these = [words[i] for i in part.tolist()]
-                literal = [isinstance(w, bytes) for w in these] if has_literal and n == 1 else False
-                chars = np.frombuffer("".join(these if literal is False else ["\0" if x else w for x, w in zip(literal, these, strict=True)]).encode("utf-32-le"), np.uint32).reshape(len(part), n).copy()
-                if literal is not False:
-                    chars[np.array(literal)] = _NO_CHAR
+        nodes = edges = used = 0
+        groups = np.flatnonzero(np.diff(length, append=-1)) + 1
+        at = 0
+        for end in groups.tolist():
+            n = int(length[at])
+            while at < end:
+                part = order[at : min(end, at + max(1, 200_000 // n))]
+                chars = np.ascontiguousarray(every[used : used + n * len(part)].reshape(len(part), n).T)
                 self.root[part] = nodes + np.arange(len(part))
-                parts.append(self._edges(np.ascontiguousarray(chars.T), nodes, t))
-                counts.append(parts[-1][-1])
-                self.char.append(np.pad(chars.T, ((0, 1), (0, 0))).ravel())
-                nodes += len(part) * (n + 1)
+                parts.append(self._edges(chars, nodes, t))
+                self.char.append(np.pad(chars, ((0, 1), (0, 0))).ravel())
+                nodes, edges = nodes + len(part) * (n + 1), edges + len(parts[-1][0])
+                at, used = at + len(part), used + n * len(part)
         joined = lambda k, kind: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
         self.source, self.target, self.piece = joined(0, np.int64), joined(1, np.int64), joined(2, np.int64)
-        self.q, self.rest, self.upto = joined(3, float), joined(4, float), joined(5, float)
-        self.n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        self.q, self.rest, self.upto, self.n = joined(3, float), joined(4, float), joined(5, float), joined(6, np.int64)
         self.start = np.cumsum(self.n) - self.n
         self.char_at = np.concatenate(self.char) if self.char else np.zeros(0, np.uint32)
 
@@ -235,53 +263,89 @@ class Lattice:
     def _edges(chars: np.ndarray, first: int, t: Tables) -> tuple[np.ndarray, ...]:
         """The edges of words of one length, given as columns of chars. The node before character i of word w is first + i * words + w."""
         n, c = chars.shape
-        x = chars.astype(_U) + _U(1)
-        h = np.zeros((n, c), _U)
+        x = (chars.astype(_U) + _U(1)).ravel()
+        alive, h = np.arange(n * c), x
         hits = []
         for size in range(1, min(n, t.longest) + 1):
-            h = h[: n - size + 1] + x[size - 1 :] * t.power[size - 1]
-            place, found = t.find(h.ravel())
-            if len(place):
-                hits.append((size, place, t.ids[found], t.prob[found]))
-        top = max([1, *(x[0] for x in hits)])
-        weight = np.zeros((n, top, c))  # by the piece's length, longest first
-        piece = np.full((n, top, c), -1, np.int32)
-        for size, place, ids, p in hits:
-            i, w = np.divmod(place, c)
-            weight[i, top - size, w], piece[i, top - size, w] = p, ids
-        alone = weight[:, top - 1] == 0
-        if alone.any():
-            size = 1 + (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
-            size[chars == _NO_CHAR] = 3
-            weight[:, top - 1] = np.where(alone, t.byte_prob**size, weight[:, top - 1])
-            piece[:, top - 1] = np.where(alone & (size == 1), t.byte_id[chars & 127], piece[:, top - 1])
-        # Mass of the paths from each place to the end. In long words each place has a scale of its own.
-        mass = np.zeros((n + top + 1, c))
-        mass[n] = 1.0
-        scale = np.zeros((n + top + 1, c))
-        for i in range(n - 1, -1, -1):
-            s = weight[i] * mass[i + 1 : i + top + 1][::-1]
-            if n > PLAIN:
-                s *= np.exp(scale[i + 1 : i + top + 1][::-1] - scale[i + 1])
-            mass[i] = s.sum(axis=0)
-            if n > PLAIN:
-                scale[i] = scale[i + 1] + np.log(mass[i])
-                mass[i] = 1.0
-        there = np.ascontiguousarray((weight > 0).transpose(0, 2, 1))
-        per = there.sum(axis=2).ravel()
-        i, w, k = np.nonzero(there)
-        size = top - k
-        q = weight[i, k, w] * mass[i + size, w] / mass[i, w]
-        if n > PLAIN:
-            q *= np.exp(scale[i + size, w] - scale[i, w])
+            if size > 1:
+                # Only where a longer piece begins so, and the word goes on.
+                more = (alive < (n - size + 1) * c) & t.goes_on[entry]
+                alive = alive[more]
+                h = h[more] + x[alive + (size - 1) * c] * t.power[size - 1]
+            found, entry = t.find(h)
+            alive, h = alive[found], h[found]
+            if not len(alive):
+                break
+            is_piece = np.flatnonzero(t.piece[entry] >= 0)
+            hits.append((size, alive[is_piece], t.piece[entry[is_piece]], t.prob[entry[is_piece]]))
+        alone = np.ones(n * c, bool)
+        if hits and hits[0][0] == 1:
+            alone[hits[0][1]] = False
+        alone = np.flatnonzero(alone)
+        if len(alone):
+            char = chars.ravel()[alone]
+            wide = 1 + (char >= 0x80).astype(np.int64) + (char >= 0x800) + (char >= 0x10000)
+            wide[char == _NO_CHAR] = 3
+            hits.insert(0, (1, alone, np.where(wide == 1, t.byte_id[char & 127], -1), t.byte_prob**wide))
+        per = np.zeros(n * c, np.int64)
+        for _, place, _, _ in hits:
+            per[place] += 1
         begin = np.cumsum(per) - per
-        total = np.repeat(np.add.reduceat(q, begin), per)
+        fill, total = begin.copy(), int(per.sum())
+        size, piece, q = np.empty(total, np.int64), np.empty(total, np.int32), np.empty(total)
+        for k, place, ids, p in reversed(hits):  # longest first
+            at = fill[place]
+            size[at], piece[at], q[at] = k, ids, p
+            fill[place] += 1
+        source = np.repeat(np.arange(n * c), per)
+        target = source + size * c
+        if c == 1 and n > PLAIN:
+            Lattice._shares_of_one(n, q, size, begin, per)
+        else:
+            Lattice._shares(n, c, q, source, target, begin)
         run = np.cumsum(q)
-        upto = (run - np.repeat(run[begin] - q[begin], per)) / total
+        upto = run - (run[begin] - q[begin])[source]
         upto[begin + per - 1] = 2.0  # above any draw
-        rest = np.where(np.repeat(per, per) > 1, np.maximum(total - q, 1e-300), 0.0)
-        source = first + i * c + w
-        return source, source + size * c, piece[i, k, w], q, rest, upto, np.concatenate((per, np.zeros(c, np.int64)))
+        rest = np.maximum(1.0 - q, 1e-300)
+        rest[begin[per == 1]] = 0.0
+        return source + first, target + first, piece, q, rest, upto, np.concatenate((per, np.zeros(c, np.int64)))
+
+    @staticmethod
+    def _shares(n: int, c: int, q: np.ndarray, source: np.ndarray, target: np.ndarray, begin: np.ndarray) -> None:
+        """q, the pieces' probabilities, become shares of the mass of all paths from each place to the end."""
+        mass = np.ones((n + 1) * c)
+        scale = np.zeros((n + 1) * c) if n > PLAIN else None  # in long words each place has a scale of its own
+        ends = np.append(begin[::c], len(q)).tolist()
+        for i in range(n - 1, -1, -1):
+            a, b = ends[i], ends[i + 1]
+            here, there, s = source[a:b], target[a:b], q[a:b]
+            if scale is None:
+                s *= mass[there]
+                mass[i * c : (i + 1) * c] = m = np.add.reduceat(s, begin[i * c : (i + 1) * c] - a)
+            else:
+                s *= np.exp(scale[there] - scale[here + c])
+                m = np.add.reduceat(s, begin[i * c : (i + 1) * c] - a)
+                scale[i * c : (i + 1) * c] = scale[(i + 1) * c : (i + 2) * c] + np.log(m)
+            s /= m[here - i * c]
+
+    @staticmethod
+    def _shares_of_one(n: int, q: np.ndarray, size: np.ndarray, begin: np.ndarray, per: np.ndarray) -> None:
+        """_shares for one long word: steps over numbers are cheaper than over arrays of one."""
+        p, of, ends = q.tolist(), size.tolist(), (begin + per).tolist()
+        scale = [0.0] * (n + 1)
+        e = len(p)
+        for i in range(n - 1, -1, -1):
+            first = ends[i - 1] if i else 0
+            near = scale[i + 1]
+            m = 0.0
+            for j in range(first, e):
+                p[j] *= math.exp(scale[i + of[j]] - near)
+                m += p[j]
+            for j in range(first, e):
+                p[j] /= m
+            scale[i] = near + math.log(m)
+            e = first
+        q[:] = p
 
     def walk(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Random paths from nodes to their words' ends: the edges, one path after the other, and each path's length."""
@@ -289,7 +353,7 @@ class Lattice:
         at, key = node[live], seed[live]
         count = np.zeros(len(node), np.int64)
         steps = []
-        while len(live):
+        while len(live) > FEW:
             u = _uniform(key + _U(len(steps) * int(_SPREAD) % (1 << 64)))
             e = self.start[at]
             late = np.flatnonzero(self.upto[e] <= u)
@@ -301,13 +365,34 @@ class Lattice:
             at = self.target[e]
             more = self.n[at] > 0
             live, at, key = live[more], at[more], key[more]
+        alone = [self._walk_one(int(a), int(k), len(steps)) for a, k in zip(at, key, strict=True)]
+        count[live] += np.array([len(x) for x in alone], np.int64)
         begin = np.cumsum(count) - count
         out = np.zeros(int(count.sum()), np.int64)
+        for i, x in zip(live.tolist(), alone, strict=True):
+            out[begin[i] + len(steps) : begin[i] + len(steps) + len(x)] = x
         for j, (i, e) in enumerate(steps):
             out[begin[i] + j] = e
         return out, count
 
 
+    def _walk_one(self, at: int, key: int, step: int) -> list[int]:
+        """walk() from one node, from that step on: the same draws, by numbers."""
+        out = []
+        n, start, target, upto = self.n, self.start, self.target, self.upto
+        while n[at]:
+            x = (key + step * int(_SPREAD)) & _ALL
+            for _ in range(2):
+                x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _ALL
+            u = (((x ^ (x >> 32)) >> 11) + 0.5) * 2.0**-53
+            e = int(start[at])
+            while upto[e] <= u:
+                e += 1
+            out.append(e)
+            at, step = int(target[e]), step + 1
+        return out
+
+
 def _capped(at: np.ndarray, cap: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel draws at the log masses at, under the condition of being at most cap."""
     with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
@@ -323,16 +408,10 @@ class Sample:
 
 def sample_batch(texts: list[str], keys: np.ndarray, t: Tables, k: int = SAMPLES) -> tuple[Lattice, list[list[Sample]], np.ndarray]:
     """The k samples of each text, fewer where it has fewer segmentations, and each text's kappa."""
-    words: list[str | bytes] = []
-    ends = []
-    for text in texts:
-        words += words_of(text)
-        ends.append(len(words))
-    distinct = list(dict.fromkeys(words))
-    lattice = Lattice(distinct, t)
-    index = dict(zip(distinct, lattice.root.tolist(), strict=True))
-    root = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-    count = np.diff(np.array(ends, np.int64), prepend=0)
+    words, count = all_words(texts)
+    coded = words.dictionary_encode()
+    lattice = Lattice(coded.dictionary, t)
+    root = lattice.root[coded.indices.to_numpy()]
     begin = np.cumsum(count) - count
     docs = len(texts)
     seeds = _mix(keys.astype(np.int64).view(_U) * _U(2) + _U(1))
@@ -382,19 +461,36 @@ def sample_batch(texts: list[str], keys: np.ndarray, t: Tables, k: int = SAMPLES
 def _split(lattice: Lattice, who: list[int], paths: list[np.ndarray], kept: list[int], gone: list[tuple[int, ...]], cap: np.ndarray, salt: np.ndarray, found: list, queue: list, most: int) -> None:
     """Adds each path as a sample, and the sets of paths that leave it to its queue: no more of them than can still be asked for."""
     size = np.array([len(p) for p in paths])
-    edge = np.concatenate(paths)
-    log_q = np.log(lattice.q[edge])
-    run = np.cumsum(log_q)
+    every = np.concatenate(paths)
     first = np.cumsum(size) - size
-    before = run - log_q - np.repeat(np.where(size > 0, np.concatenate(([0.0], run))[first], 0.0), size)
-    place = np.arange(len(edge)) - np.repeat(first, size)
+    log_q = np.log(lattice.q[every])
+    total = np.zeros(len(who))
+    total[size > 0] = np.add.reduceat(log_q, first[size > 0]) if len(every) else 0.0
     fork = np.array(kept) - 1  # the last given edge; sets before it are in the queue already
-    owner = np.repeat(np.arange(len(who)), size)
-    # A draw adds at most 38 to its set's log mass, and takes off at most 4. So with enough sets of a mass above
-    # e^-58 at hand, those below e^-100 can't be among the best.
-    rest = lattice.rest[edge]
-    enough = np.bincount(owner[(before > -50) & (rest > 1e-3) & (place > fork[owner])], minlength=len(who)) >= most
-    near = np.flatnonzero(((before > -100) | ~enough[owner]) & (place >= fork[owner]))
+    # A draw adds at most 38 to its set's log mass, and takes off at most 4. So with enough sets within e^-15 of the
+    # fork's mass, those below e^-58 of it can't be among the best.
+    seen = np.minimum(size, WINDOW)
+    while True:
+        begin = np.cumsum(seen) - seen
+        owner = np.repeat(np.arange(len(who)), seen)
+        place = np.arange(len(owner)) - begin[owner]
+        edge = first[owner] + place
+        own = log_q[edge]
+        run = np.cumsum(own)
+        before = run - own - np.concatenate(([0.0], run))[begin][owner]
+        base = np.zeros(len(who))
+        forked = (fork >= 0) & (seen > 0)
+        base[forked] = before[begin[forked] + np.minimum(fork, seen - 1)[forked]]
+        edge = every[edge]
+        rest = lattice.rest[edge]
+        below = before - base[owner]
+        enough = np.bincount(owner[(below > -8) & (rest > 1e-3) & (place > fork[owner])], minlength=len(who)) >= most
+        short = seen < size
+        short[short] = ~enough[short] | (below[begin[short] + seen[short] - 1] > -58)
+        if not short.any():
+            break
+        seen = np.where(short, np.minimum(size, 4 * seen), seen)
+    near = np.flatnonzero(((below > -58) | ~enough[owner]) & (place >= fork[owner]))
     edge, owner, place, before_near = edge[near], owner[near], place[near], before[near]
     with np.errstate(divide="ignore"):
         at = before_near + np.log(rest[near])
@@ -409,7 +505,7 @@ def _split(lattice: Lattice, who: list[int], paths: list[np.ndarray], kept: list
     docs = np.array(who)
     value = _capped(at, cap[docs][owner], _uniform(salt[docs][owner] ^ _mix(place.astype(_U) + _U(1 << 40))))
     for i, d in enumerate(who):
-        found[d].append(Sample(paths[i], float(before[first[i] + size[i] - 1] + log_q[first[i] + size[i] - 1]) if size[i] else 0.0, float(cap[d])))
+        found[d].append(Sample(paths[i], float(total[i]), float(cap[d])))
     filled = np.flatnonzero(np.diff(begin))
     for _ in range(most):
         if not len(filled):
@@ -470,14 +566,18 @@ def sampled(docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA)
     schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("gumbel", pa.float64()), ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())])
 
     def rows_of(ids: list, texts: list[str], v: Vocabulary, t: Tables, decode: Decoder) -> pa.RecordBatch:
-        rows = []
+        rows, whole = [], []
         for i, text, samples in zip(ids, texts, encode_samples(texts, [i or 0 for i in ids], v, t, k), strict=True):
-            rows += [(i, j, len(s[0]), s[0], s[1], s[2], s[3], decode(s[0]) == text) for j, s in enumerate(samples)]
+            raw = text.encode()
+            for j, s in enumerate(samples):
+                rows.append((i, j, len(s[0]), s[0], s[1], s[2], s[3]))
+                whole.append(raw)
         columns = list(zip(*rows, strict=True))
-        ends = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
-        values = pa.array(np.concatenate(columns[3]).astype(np.int32))
-        arrays = [pa.ListArray.from_arrays(pa.array(ends), values) if f.name == "ids" else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+        ends = np.cumsum(columns[2])
+        values = np.concatenate(columns[3]).astype(np.int32)
+        columns[3] = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], ends))), pa.array(values)).cast(pa.list_(pa.int32()))
+        columns.append([a == b for a, b in zip(decode.utf8(values, ends), whole, strict=True)])
+        return pa.RecordBatch.from_arrays([c if f.name == "ids" else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(*shared.value)
