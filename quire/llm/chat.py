@@ -67,7 +67,7 @@ def live(events: DataFrame) -> DataFrame:
     """The events that the final messages are made of.
 
     events (conv_id, seq, kind, turn, role, text): a message, an edit or a regeneration gives its turn's
-    text anew, a delta adds to it. A regeneration also drops every turn after its own, and what its own
+    text anew, a delta adds to it. Further columns are kept. A regeneration also drops every turn after its own, and what its own
     turn held. Sequence numbers order the events of a conversation; ties go by turn, role and text.
     """
     order = [F.col(c).desc_nulls_last() for c in ("seq", "turn", "role", "text")]
@@ -95,10 +95,11 @@ def _folded(rows: Iterable[tuple]) -> Iterator[tuple[object, str, str]]:
 def _sorted(events: DataFrame) -> DataFrame:
     """Live events, each conversation in one task and in order. It is read row by row, never held.
 
-    live() deals the rows by conversation for its windows, and they stay so: there is one shuffle.
+    The rows are dealt by conversation again after live()'s windows. Where they lie so already, the planner leaves
+    that shuffle out; where it dealt them otherwise, no conversation is torn.
     """
     tune(events.sparkSession)
-    return live(events).sortWithinPartitions("conv_id", "turn", "seq", "role", "text").select("conv_id", "turn", "role", "text")
+    return live(events).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "seq", "role", "text").select("conv_id", "turn", "role", "text")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -121,7 +122,8 @@ def formatted(events: DataFrame) -> DataFrame:
     """(conv_id, turn_no, segment, loss_begin, loss_end): the rendered turns in order; joined they are the conversation.
 
     The loss mask covers the characters loss_begin to loss_end of a segment: an assistant's text. It is
-    empty for other roles. A conversation stays in segments, so that none has to fit in one row.
+    empty for other roles. A conversation stays in segments, so that none has to fit in one row. Null texts
+    and roles are empty; further columns of events are left out, whatever their names; no events give no rows.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("turn_no", pa.int64()), ("segment", pa.string()), ("loss_begin", pa.int64()), ("loss_end", pa.int64())])
 
@@ -139,8 +141,14 @@ def formatted(events: DataFrame) -> DataFrame:
     return _sorted(events).mapInArrow(run, "conv_id bigint, turn_no bigint, segment string, loss_begin bigint, loss_end bigint")
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of what formatted() wrote."""
+def read_back(segments: DataFrame, together: bool = False) -> DataFrame:
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of what formatted() wrote.
+
+    together: each conversation lies in one partition, as formatted() itself returns it. Segments that were
+    stored and read again don't; they are dealt by conversation first. An empty table gives no rows.
+    """
+    if not together:
+        segments = segments.repartition("conv_id")
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,5 +189,5 @@ def digests(conversations: DataFrame) -> DataFrame:
     A null text or role is the empty one; a null conv_id is a conversation of its own. Repeated rows are
     turns of their own. An empty table gives no rows.
     """
-    return read_back(formatted(as_events(conversations.select(F.col("conv_id").cast("long"), "turn", "role", "text"))))
+    return read_back(formatted(as_events(conversations.select(F.col("conv_id").cast("long"), "turn", "role", "text"))), together=True)
 
