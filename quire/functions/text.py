@@ -78,15 +78,23 @@ def money(value: Column, style: str = "dot", prefix: str = "", suffix: str = "")
         "dot": lambda: grouped(size, 0, ".", ","),
         "comma": lambda: grouped(size, 0, ",", "."),
         "comma_2dp": lambda: grouped(size, 2, ",", "."),
-        "cents": lambda: grouped(F.bround(size, 0) / 100, 2, ",", "."),
+        "cents": lambda: grouped(size / 100, 2, ",", "."),
     }[style]()
     return F.concat(F.when(value < 0, "-").otherwise(""), F.lit(prefix), body, F.lit(suffix))
 
 
-def quantity(value: Column, decimals: int = 3, style: str = "dot") -> Column:
-    """Whole numbers as money; others with the style's other sign before the decimals."""
-    point = "," if style == "dot" else "."
-    return F.when(value == F.floor(value), money(value, style)).otherwise(F.translate(F.format_string(f"%.{decimals}f", value), ".", point))
+def quantity(value: Column, style: str = "dot", decimals: int = 0) -> Column:
+    """Whole numbers as money. With decimals the whole part as money, then the style's other sign and the decimals.
+
+    cents is a style of money alone: a quantity of 2 is 2, so it borrows comma's signs. A number between -1 and 0
+    loses its sign with decimals, as its whole part is 0.
+    """
+    style = "comma" if style == "cents" else style
+    if decimals == 0:
+        return money(F.bround(value, 0), style)
+    plain = F.translate(F.format_number(value, decimals), ",", "")
+    whole = money(F.substring_index(plain, ".", 1).cast("bigint"), style)
+    return F.concat(whole, F.lit("," if style == "dot" else "."), F.substring_index(plain, ".", -1))
 
 
 def amount(text: Column, style: str = "dot") -> Column:
@@ -124,31 +132,118 @@ def filled(template: Column, values: Column) -> Column:
     return F.aggregate(F.map_entries(values), template, lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")), e["value"]))
 
 
+#: White space of any script, and the four ASCII separators.
+_SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
+
+
 def wrapped(text: Column, width: int) -> Column:
-    """Lines of at most width characters; longer words are cut, lines end at words where they can."""
-    cut = F.regexp_extract_all(text, F.lit(rf"\S.{{0,{width - 1}}}(?=\s|$)|\S{{{width}}}"), F.lit(0))
-    return F.transform(cut, F.rtrim)
+    """Lines of at most width characters that keep the blanks between words, and those before the first.
+
+    A run of blanks that doesn't fit ends its line; a word that doesn't fit begins one, and is cut if it is longer
+    than a line. Blanks at a line's end go. Without any line there is one empty line; a width below 1 cuts nothing.
+    """
+    if width < 1:
+        return F.array(text)
+    bare = lambda x: F.regexp_replace(x, _SPACE + "+$", "")
+    parts = F.regexp_extract_all(text, F.lit(f"{_SPACE}+|[^\\p{{IsWhite_Space}}\\x1c-\\x1f]+"), F.lit(0))
+
+    def step(acc: Column, part: Column) -> Column:
+        lines, now = acc["lines"], acc["now"]
+        size = F.length(part)
+        cuts = F.floor((size - 1) / width).cast("int")
+        full = F.when(cuts > 0, F.transform(F.sequence(F.lit(0), F.greatest(cuts - 1, F.lit(0))), lambda i: F.substr(part, i * width + 1, F.lit(width)))).otherwise(F.array().cast("array<string>"))
+        ended = F.when(bare(now) != "", F.concat(lines, F.array(bare(now)))).otherwise(lines)
+        fits = F.struct(lines.alias("lines"), F.concat(now, part).alias("now"))
+        blank = F.struct(F.concat(lines, F.array(bare(now))).alias("lines"), F.lit("").alias("now"))
+        word = F.struct(F.concat(ended, full).alias("lines"), F.substr(part, cuts * width + 1, F.lit(width)).alias("now"))
+        return F.when(F.length(now) + size <= width, fits).when(part.rlike("^" + _SPACE), blank).otherwise(word)
+
+    def end(acc: Column) -> Column:
+        lines = F.when(bare(acc["now"]) != "", F.concat(acc["lines"], F.array(bare(acc["now"])))).otherwise(acc["lines"])
+        return F.when(F.size(lines) > 0, lines).otherwise(F.array(F.lit("")))
+
+    return F.aggregate(parts, F.struct(F.array().cast("array<string>").alias("lines"), F.lit("").alias("now")), step, end)
 
 
-#: Vietnamese digits, and the forms of one, four and five after tens.
+def fitted(text: Column, width: int) -> Column:
+    """The first width characters."""
+    return F.substring(text, 1, width)
+
+
+def cased(text: Column, upper: bool, fold: bool) -> Column:
+    """The text without marks and in capitals, as asked."""
+    text = ascii_fold(text) if fold else text
+    return F.upper(text) if upper else text
+
+
+#: The language's digits and the names of the thousands.
 DIGITS = ("không", "một", "hai", "ba", "bốn", "năm", "sáu", "bảy", "tám", "chín")
 SCALES = ("", "nghìn", "triệu", "tỷ", "nghìn tỷ")
 
 
-def words_vi(number: Column) -> Column:
-    """A whole number of at most 15 digits in Vietnamese words; beyond that, its digits."""
+def words_vi(number: Column, unit: str = "đồng") -> Column:
+    """An amount in Vietnamese words: rounded half-even, with a capital, the unit, and Âm before negative ones.
+
+    A group after a larger one keeps its zeros (không trăm lẻ năm). Of more than 15 digits the digits are printed.
+    """
+    size = F.bround(F.abs(number), 0).cast("decimal(38,0)")
     digit = F.array(*map(F.lit, DIGITS))
     name = lambda d: F.get(digit, d.cast("int"))
 
     def group(value: Column, lead: Column) -> Column:
         hundreds, tens, ones = F.floor(value / 100), F.floor(value / 10) % 10, value % 10
         first = F.when(lead | (hundreds > 0), F.concat(name(hundreds), F.lit(" trăm")))
-        second = F.when(tens == 0, F.when((ones > 0) & (lead | (hundreds > 0)), "linh")).when(tens == 1, "mười").otherwise(F.concat(name(tens), F.lit(" mươi")))
+        second = F.when(tens == 0, F.when((ones > 0) & (lead | (hundreds > 0)), "lẻ")).when(tens == 1, "mười").otherwise(F.concat(name(tens), F.lit(" mươi")))
         third = F.when(ones == 0, None).when((ones == 1) & (tens > 1), "mốt").when((ones == 4) & (tens > 1), "tư").when((ones == 5) & (tens > 0), "lăm").otherwise(name(ones))
         return F.concat_ws(" ", first, second, third)
 
+    digits = F.lpad(size.cast("string"), 15, "0")
     parts = []
     for i in reversed(range(5)):
-        value = F.floor(number / 1000**i) % 1000
-        parts.append(F.when(value > 0, F.concat_ws(" ", group(value, number >= F.lit(1000 ** (i + 1))), F.nullif(F.lit(SCALES[i]), F.lit("")))))
-    return F.when(number == 0, DIGITS[0]).when(number >= 10**15, number.cast("string")).otherwise(F.concat_ws(" ", *parts))
+        value = F.substr(digits, F.lit(13 - 3 * i), F.lit(3)).cast("int")
+        parts.append(F.when(value > 0, F.concat_ws(" ", group(value, size >= F.lit(1000 ** (i + 1))), F.nullif(F.lit(SCALES[i]), F.lit("")))))
+    spoken = F.when(size == 0, DIGITS[0]).when(size >= F.lit(10**15), grouped(size, 0, ".", ",")).otherwise(F.concat_ws(" ", *parts))
+    said = F.concat(F.upper(F.substring(spoken, 1, 1)), F.substr(spoken, F.lit(2)))
+    return F.trim(F.concat(F.when(number < 0, "Âm ").otherwise(""), said, F.lit(f" {unit}")))
+
+
+#: Sentence and word marks that stand alone, or join what is before or after them.
+SEPARATORS = r"^/?[.!?]+$"
+
+
+def is_separator(token: Column) -> Column:
+    return F.coalesce(token.rlike(SEPARATORS), F.lit(False))
+
+
+def is_blank(text: Column) -> Column:
+    """Nothing but white space, and not empty."""
+    return F.coalesce(text.rlike(f"^{_SPACE}+$"), F.lit(False))
+
+
+def joined(tokens: Column) -> Column:
+    """Tokens as a text, one blank between them; those that are empty or blank are left out."""
+    return F.array_join(F.filter(tokens, lambda t: F.trim(t) != ""), " ")
+
+
+def squeezed(text: Column) -> Column:
+    """The text without any white space."""
+    return F.regexp_replace(text, _SPACE + "+", "")
+
+
+def split_like(text: Column, sizes: Column) -> Column:
+    """The text without white space, cut into pieces of those sizes; what is left over goes to the last one."""
+    bare = squeezed(text)
+    ends = F.transform(sizes, lambda n, i: F.aggregate(F.slice(sizes, 1, i + 1), F.lit(0), lambda acc, x: acc + x.cast("int")))
+    last = F.size(sizes) - 1
+    return F.transform(sizes, lambda n, i: F.substr(bare, F.get(ends, i) - n.cast("int") + 1, F.when(i == last, F.length(bare) + 1).otherwise(n.cast("int"))))
+
+
+def missing_characters(text: Column, alphabet: Column) -> Column:
+    """Characters of the text, sorted, that the alphabet lacks; white space is never missing."""
+    return F.array_sort(F.array_distinct(F.array_except(F.split(squeezed(text), ""), F.concat(F.split(alphabet, ""), F.array(F.lit(""))))))
+
+
+def check_digits(code: Column, weights: tuple[int, ...], modulus: int = 11) -> Column:
+    """The weighted digit sum of a code, complemented to the modulus: tax codes, accounts and the like."""
+    total = sum((F.substr(code, F.lit(i + 1), F.lit(1)).cast("int") * w for i, w in enumerate(weights)), F.lit(0))
+    return (modulus - total % modulus) % modulus

@@ -6,6 +6,9 @@ runs in Arrow UDFs, on segments that anchors keep short. What follows from an al
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -15,17 +18,41 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 #: Scores of a global alignment, and the sign of a gap.
 MATCH, MISMATCH, GAP, SPACE = 1.0, -0.5, -0.5, -0.1
 GAP_CHAR = "@"
-#: Segments of more characters are cut at anchors.
+#: Segments of more characters are cut at anchors, where they have any.
 SEGMENT = 100
+#: Cells of the largest table of scores; larger ones are halved first.
+CELLS = 4_000_000
+
+_WORDS = re.compile(r"\S+")
 
 ALIGNED = StructType([StructField("gt", StringType()), StructField("noise", StringType())])
 
 
+def _last_row(gt: str, noise: str) -> np.ndarray:
+    """The best scores of all of gt against each beginning of noise, in memory for two rows."""
+    a, b, n = np.array(list(gt)), np.array(list(noise)), len(noise)
+    steps = GAP * np.arange(n + 1)
+    best = steps.copy()
+    for i, c in enumerate(a, 1):
+        score = np.where(b == c, MATCH, MISMATCH + SPACE * ((b == " ") | (c == " ")))
+        row = np.empty(n + 1)
+        row[0] = GAP * i
+        row[1:] = np.maximum(best[:-1] + score, best[1:] + GAP)
+        best = np.maximum.accumulate(row - steps) + steps
+    return best
+
+
 def _pair(gt: str, noise: str, gap: str) -> tuple[str, str]:
-    """One best alignment: the diagonal where it ties, else a gap in noise."""
+    """One best alignment: the diagonal where it ties, else a gap in noise. Where the table of scores would be larger
+    than CELLS, gt is halved and noise is cut where the two halves' scores add up to the best."""
     if not gt or not noise:
         return gt or gap * len(noise), noise or gap * len(gt)
     m, n = len(gt), len(noise)
+    if (m + 1) * (n + 1) > CELLS and m > 1:
+        half = m // 2
+        at = int(np.argmax(_last_row(gt[:half], noise) + _last_row(gt[half:][::-1], noise[::-1])[::-1]))
+        left, right = _pair(gt[:half], noise[:at], gap), _pair(gt[half:], noise[at:], gap)
+        return left[0] + right[0], left[1] + right[1]
     a, b = np.array(list(gt)), np.array(list(noise))
     score = np.where(a[:, None] == b[None, :], MATCH, MISMATCH + SPACE * ((a[:, None] == " ") | (b[None, :] == " ")))
     best = np.zeros((m + 1, n + 1))
@@ -66,9 +93,11 @@ def lcs_length(a: str, b: str) -> int:
 
 def anchors(gt: list[str], noise: list[str]) -> list[tuple[int, int]]:
     """Pairs of places of words that occur once on both sides, as long an increasing chain of them as there is."""
-    once = lambda t: {w: i for i, w in enumerate(t) if low(t).count(w.lower()) == 1}
-    counts: dict[int, list[str]] = {}
-    low = lambda t: counts.setdefault(id(t), [w.lower() for w in t])
+    def once(t: list[str]) -> dict[str, int]:
+        low = [w.lower() for w in t]
+        n = Counter(low)
+        return {w: i for i, (w, x) in enumerate(zip(t, low, strict=True)) if n[x] == 1}
+
     left, right = once(gt), once(noise)
     pairs = sorted((i, right[w]) for w, i in left.items() if w in right)
     tails: list[tuple[int, int]] = []
@@ -84,24 +113,36 @@ def anchors(gt: list[str], noise: list[str]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def chain(gt: list[str], noise: list[str], size: int = SEGMENT) -> list[tuple[int, int]]:
+    """anchors(), and those of each stretch between two of them that has more than size characters, and so on."""
+    out, todo = [], [(0, len(gt), 0, len(noise))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        found = [(i0 + i, j0 + j) for i, j in anchors(gt[i0:i1], noise[j0:j1])]
+        out += found
+        ends = [*found, (i1, j1)]
+        for (i, j), (p, q) in zip([(i0 - 1, j0 - 1), *found], ends, strict=True):
+            longer = max(sum(map(len, gt[i + 1 : p])), sum(map(len, noise[j + 1 : q]))) > size
+            if found and longer and i + 1 < p and j + 1 < q:
+                todo.append((i + 1, p, j + 1, q))
+    return sorted(out)
+
+
 def align(gt: str, noise: str, gap: str = GAP_CHAR) -> tuple[str, str]:
-    """Both texts at one length, gaps marked; long texts are cut before anchors."""
-    a, b = gt.split(), noise.split()
+    """Both texts at one length, gaps marked. Long texts are cut where an anchor begins; without the gaps, both sides
+    are the texts that went in, blanks and all."""
     if max(len(gt), len(noise)) <= SEGMENT:
         return _pair(gt, noise, gap)
-    cuts = [(i, j) for i, j in anchors(a, b) if i and j]
-    kept, at = [], 0
-    for i, j in cuts:
-        if sum(len(w) + 1 for w in a[at:i]) >= SEGMENT // 2:
-            kept.append((i, j))
-            at = i
+    a, b = list(_WORDS.finditer(gt)), list(_WORDS.finditer(noise))
     out_a, out_b, i0, j0 = [], [], 0, 0
-    for i, j in [*kept, (len(a), len(b))]:
-        x, y = _pair(" ".join(a[i0:i]), " ".join(b[j0:j]), gap)
-        out_a.append(x)
-        out_b.append(y)
-        i0, j0 = i, j
-    return " ".join(out_a), " ".join(out_b)
+    cuts = [(a[i].start(), b[j].start()) for i, j in chain([m[0] for m in a], [m[0] for m in b])]
+    for i, j in [*cuts, (len(gt), len(noise))]:
+        if (i, j) == (len(gt), len(noise)) or max(i - i0, j - j0) >= SEGMENT // 2 and i > i0 and j > j0:
+            x, y = _pair(gt[i0:i], noise[j0:j], gap)
+            out_a.append(x)
+            out_b.append(y)
+            i0, j0 = i, j
+    return "".join(out_a), "".join(out_b)
 
 
 @F.pandas_udf(ALIGNED)
@@ -192,9 +233,15 @@ def edit_counts(pair: Column, gap: str = GAP_CHAR) -> Column:
 
 
 def unique_words(tokens: Column) -> Column:
-    """Words whose lower-case form occurs once, in order."""
-    low = F.transform(tokens, F.lower)
-    return F.filter(tokens, lambda t: F.size(F.filter(low, lambda x: x == F.lower(t))) == 1)
+    """Words whose lower-case form occurs once, in order: sorted by that form, they have unlike neighbours."""
+    placed = F.array_sort(F.transform(tokens, lambda t, i: F.struct(F.lower(t).alias("low"), i.alias("i"), t.alias("t"))))
+
+    def lone(s: Column) -> Column:
+        unlike = lambda x, j: ~F.get(s, j)["low"].eqNullSafe(x["low"])
+        kept = F.filter(s, lambda x, i: unlike(x, i - 1) & unlike(x, i + 1))
+        return F.transform(F.array_sort(F.transform(kept, lambda x: F.struct(x["i"], x["t"]))), lambda x: x["t"])
+
+    return F.get(F.transform(F.array(placed), lone), 0)
 
 
 def gap_runs(df: DataFrame, pair: str, gap: str = GAP_CHAR) -> DataFrame:

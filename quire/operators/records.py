@@ -40,20 +40,24 @@ def unprinted(rows: DataFrame, group: str, fields: Sequence[str], budget: float,
     return out.withColumn("share", F.round(F.col("missing") / F.col("n"), 6)).where((F.col("n") >= least) & (F.col("share") > budget))
 
 
-def json_leaves(df: DataFrame, key: str, column: str, depth: int = 4) -> DataFrame:
-    """(key, path, leaf): the scalars of JSON objects down to depth; lists don't lengthen the path."""
+def json_leaves(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, path, leaf): the scalars of JSON values at any depth; lists don't lengthen the path.
+
+    One step opens one level of all rows, and there are as many steps as the deepest row has levels. Text that
+    isn't JSON is one null leaf, and so are empty objects and lists.
+    """
     level = df.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.try_parse_json(column).alias("_v"))
     out = None
-    for step in range(depth + 1):
+    while True:
         kind = F.coalesce(F.schema_of_variant("_v"), F.lit("VOID"))
         inner = kind.startswith("OBJECT") | kind.startswith("ARRAY")
         leaf = level.where(~inner).select("_key", "_path", F.col("_v").cast("string").alias("leaf"))
         out = leaf if out is None else out.unionByName(leaf)
-        if step < depth:
-            nested = level.where(inner)
-            opened = nested.lateralJoin(nested.sparkSession.tvf.variant_explode(F.col("_v").outer()))
-            level = opened.select("_key", F.concat_ws(".", F.nullif("_path", F.lit("")), "key").alias("_path"), F.col("value").alias("_v"))
-    return out.select(F.col("_key").alias(key), F.col("_path").alias("path"), "leaf")
+        nested = level.where(inner)
+        if not nested.limit(1).count():
+            return out.select(F.col("_key").alias(key), F.col("_path").alias("path"), "leaf")
+        opened = nested.lateralJoin(nested.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+        level = opened.select("_key", F.concat_ws(".", F.nullif("_path", F.lit("")), "key").alias("_path"), F.col("value").alias("_v"))
 
 
 def overlaps(boxes: DataFrame, page: str, number: str, threshold: float = 0.3) -> DataFrame:

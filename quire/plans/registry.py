@@ -112,9 +112,23 @@ def money_read_back(t, spark):
     return t("orders").select("o_orderkey", T.amount(T.money(F.col("o_totalprice"), "dot"), "dot").alias("amount"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity::BIGINT::VARCHAR AS q FROM lineitem")
+_THREE = "printf('%.3f', v)"
+_WHOLE = f"format('{{:,}}', trunc(split_part({_THREE}, '.', 1)::DOUBLE)::BIGINT)"
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, format('{{:,}}', round_even(v, 0)::BIGINT) AS cents, replace({_WHOLE}, ',', '.') || ',' || split_part({_THREE}, '.', 2) AS dot,
+       {_WHOLE} || '.' || split_part({_THREE}, '.', 2) AS comma
+FROM (SELECT l_orderkey, l_linenumber, (l_quantity * 1234 - 20000) * (1 + l_discount) / 4 AS v FROM lineitem)
+""")
 def quantity_text(t, spark):
-    return t("lineitem").select("l_orderkey", "l_linenumber", T.quantity(F.col("l_quantity")).alias("q"))
+    v = (F.col("l_quantity") * 1234 - 20000) * (1 + F.col("l_discount")) / 4
+    return t("lineitem").select("l_orderkey", "l_linenumber", T.quantity(v, "cents").alias("cents"), T.quantity(v, "dot", 3).alias("dot"), T.quantity(v, "comma", 3).alias("comma"))
+
+
+@query("SELECT o_orderkey, CASE WHEN v < 0 THEN '-' ELSE '' END || '$' || format('{:,.2f}', abs(v) / 100.0) AS dollars FROM (SELECT o_orderkey, o_totalprice * 10 - 900000 AS v FROM orders)")
+def money_cents(t, spark):
+    return t("orders").select("o_orderkey", T.money(F.col("o_totalprice") * 10 - 900000, "cents", prefix="$").alias("dollars"))
 
 
 @query("SELECT o_orderkey, round_even(o_totalprice / 500, 0) * 500 AS stepped FROM orders")
@@ -166,14 +180,43 @@ def template_filled(t, spark):
     return t("customer").select("c_custkey", T.filled(F.lit("Dear {name}, {segment}"), values).alias("letter"))
 
 
-@query()
+_NAMES = "['không', 'một', 'hai', 'ba', 'bốn', 'năm', 'sáu', 'bảy', 'tám', 'chín']"
+#: A group of three digits g: how it is read after a larger group (lead) or as the first.
+_GROUP = f"""
+concat_ws(' ', CASE WHEN lead OR g >= 100 THEN {_NAMES}[g // 100 + 1] || ' trăm' END,
+  CASE WHEN g // 10 % 10 = 0 THEN CASE WHEN g % 10 > 0 AND (lead OR g >= 100) THEN 'lẻ' END WHEN g // 10 % 10 = 1 THEN 'mười' ELSE {_NAMES}[g // 10 % 10 + 1] || ' mươi' END,
+  CASE WHEN g % 10 = 0 THEN NULL WHEN g % 10 = 1 AND g // 10 % 10 > 1 THEN 'mốt' WHEN g % 10 = 4 AND g // 10 % 10 > 1 THEN 'tư' WHEN g % 10 = 5 AND g // 10 % 10 > 0 THEN 'lăm' ELSE {_NAMES}[g % 10 + 1] END)
+"""
+
+
+@query(f"""
+WITH v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 0.0 ELSE (o_totalprice - 100000) * CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 100003 ELSE 1e7 + 1 END END AS v FROM orders),
+n AS (SELECT o_orderkey, v, round_even(abs(v), 0)::BIGINT AS n FROM v),
+g AS (SELECT o_orderkey, i, n // (1000 ** i)::BIGINT % 1000 AS g, n >= (1000 ** (i + 1))::BIGINT AS lead FROM n, (SELECT unnest([0, 1, 2, 3, 4]) AS i)),
+w AS (SELECT o_orderkey, string_agg(concat_ws(' ', {_GROUP}, nullif(['', 'nghìn', 'triệu', 'tỷ', 'nghìn tỷ'][i + 1], '')), ' ' ORDER BY i DESC) AS w FROM g WHERE g > 0 GROUP BY o_orderkey)
+SELECT o_orderkey, CASE WHEN v < 0 THEN 'Âm ' ELSE '' END || CASE WHEN n = 0 THEN 'Không' ELSE upper(left(w, 1)) || substr(w, 2) END || ' đồng' AS words FROM n LEFT JOIN w USING (o_orderkey)
+""")
 def amount_in_words(t, spark):
-    return t("orders").select("o_orderkey", T.words_vi(F.bround("o_totalprice", 0).cast("bigint")).alias("words"))
+    k, x = F.col("o_orderkey"), F.col("o_totalprice") - 100000
+    v = F.when(k % 97 == 0, 0.0).otherwise(x * F.when(k % 3 == 0, 1.0).when(k % 3 == 1, 100003.0).otherwise(1e7 + 1))
+    return t("orders").select("o_orderkey", T.words_vi(v).alias("words"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE parts AS (SELECT item_id, regexp_extract_all(replace(text, '. ', '.   '), '\s+|\S+') AS p FROM benchmark),
+fold AS (
+    SELECT item_id, p, 1 AS i, []::VARCHAR[] AS lines, '' AS now FROM parts
+    UNION ALL
+    SELECT item_id, p, i + 1,
+        CASE WHEN length(now) + length(p[i]) <= 12 THEN lines WHEN regexp_matches(p[i], '^\s') THEN list_append(lines, regexp_replace(now, '\s+$', ''))
+             ELSE list_concat(CASE WHEN regexp_matches(now, '\S') THEN list_append(lines, regexp_replace(now, '\s+$', '')) ELSE lines END, [substr(p[i], k * 12 + 1, 12) FOR k IN range((length(p[i]) - 1) // 12)]) END,
+        CASE WHEN length(now) + length(p[i]) <= 12 THEN now || p[i] WHEN regexp_matches(p[i], '^\s') THEN '' ELSE substr(p[i], (length(p[i]) - 1) // 12 * 12 + 1) END
+    FROM fold WHERE i <= len(p)
+)
+SELECT item_id, CASE WHEN regexp_matches(now, '\S') THEN list_append(lines, regexp_replace(now, '\s+$', '')) WHEN len(lines) = 0 THEN [''] ELSE lines END AS lines FROM fold WHERE i = len(p) + 1
+""")
 def wrapped_lines(t, spark):
-    return t("benchmark").select("item_id", T.wrapped(F.col("text"), 40).alias("lines"))
+    return t("benchmark").select("item_id", T.wrapped(F.replace("text", F.lit(". "), F.lit(".   ")), 12).alias("lines"))
 
 
 # --- order-free recall and strata ---
@@ -261,7 +304,17 @@ def record_problems(t, spark):
 
 @query("SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS leaf FROM events")
 def json_leaves(t, spark):
-    return records.json_leaves(t("events"), "event_id", "props", 2)
+    return records.json_leaves(t("events"), "event_id", "props")
+
+
+@query("""
+SELECT o_orderkey, x.path AS path, x.leaf AS leaf FROM (SELECT o_orderkey, unnest([{'path': 'a.b.c.d.e', 'leaf': o_orderstatus}, {'path': 'a.b.list', 'leaf': o_custkey::VARCHAR}, {'path': 'a.b.list.deep', 'leaf': o_orderpriority}, {'path': 'z', 'leaf': o_orderkey::VARCHAR}]) AS x FROM orders)
+""")
+def deep_leaves(t, spark):
+    deep = F.struct(F.struct(F.struct(F.struct(F.col("o_orderstatus").alias("e")).alias("d")).alias("c"), F.lit("@").alias("list")).alias("b"))
+    text = F.to_json(F.struct(deep.alias("a"), F.col("o_orderkey").alias("z")))
+    mixed = F.concat(F.lit("["), F.col("o_custkey").cast("string"), F.lit(',[{"deep":"'), F.col("o_orderpriority"), F.lit('"}]]'))
+    return records.json_leaves(t("orders").select("o_orderkey", F.replace(text, F.lit('"@"'), mixed).alias("j")), "o_orderkey", "j")
 
 
 @query("SELECT source, count(*) - count(DISTINCT sha256(text)) AS repeated FROM documents GROUP BY source")
@@ -542,17 +595,19 @@ def stay_nights(t, spark):
 
 
 @query("""
-WITH c AS (SELECT l_orderkey % 100 AS t, l_orderkey AS r, l_linenumber AS c, l_linenumber % 3 AS span FROM lineitem WHERE l_orderkey < 1000),
+WITH c AS (SELECT l_orderkey // 10 AS t, l_orderkey AS r, l_linenumber AS c, l_linenumber % 3 AS span FROM lineitem),
 rows AS (SELECT t, r, '<tr> ' || string_agg(CASE WHEN span > 1 THEN '<td  colspan="' || span || '" > </td>' ELSE '<td> </td>' END, ' ' ORDER BY c) || ' </tr>' AS s FROM c GROUP BY ALL)
 SELECT t, string_agg(s, ' ' ORDER BY r) AS tokens FROM rows GROUP BY t
 """)
 def structure_tokens(t, spark):
     k = F.col("l_orderkey")
-    cells = t("lineitem").where(k < 1000).select((k % 100).alias("t"), k.alias("row"), F.col("l_linenumber").alias("col"), F.lit(1).alias("rowspan"), (F.col("l_linenumber") % 3).alias("colspan"))
+    cells = t("lineitem").select(F.floor(k / 10).alias("t"), k.alias("row"), F.col("l_linenumber").alias("col"), F.lit(1).alias("rowspan"), (F.col("l_linenumber") % 3).alias("colspan"))
     return tables.structure_tokens(cells, "t").select("t", F.array_join("tokens", " ").alias("tokens"))
 
 
-@query()
+@query("""
+SELECT n_nationkey, unnest([{'tag': 'td', 'row': 0, 'col': 0, 'rowspan': 2, 'colspan': 1, 'text': n_name}, {'tag': 'td', 'row': 0, 'col': 1, 'rowspan': 1, 'colspan': 1, 'text': 'a'}, {'tag': 'td', 'row': 1, 'col': 1, 'rowspan': 1, 'colspan': 1, 'text': 'b'}], recursive := true) FROM nation
+""")
 def table_cells(t, spark):
     markup = F.concat(F.lit("<table><tr><td rowspan=2>"), F.col("n_name"), F.lit("</td><td>a</td></tr><tr><td>b</td></tr></table>"))
     return t("nation").select("n_nationkey", F.explode(tables.cells_of(markup)).alias("c")).select("n_nationkey", "c.*")

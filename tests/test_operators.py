@@ -19,8 +19,8 @@ def test_money_and_words(spark):
     assert one(spark, T.money(F.lit(123456.0), "cents", prefix="$")) == "$1,234.56"
     assert one(spark, T.money(F.lit(1234.5), "comma_2dp")) == "1,234.50"
     assert one(spark, T.amount(F.lit("-1.234"), "dot")) == -1234.0
-    assert one(spark, T.words_vi(F.lit(121000).cast("bigint"))) == "một trăm hai mươi mốt nghìn"
-    assert one(spark, T.words_vi(F.lit(0).cast("bigint"))) == "không"
+    assert one(spark, T.words_vi(F.lit(121000).cast("bigint"))) == "Một trăm hai mươi mốt nghìn đồng"
+    assert one(spark, T.words_vi(F.lit(0).cast("bigint"))) == "Không đồng"
     assert one(spark, T.ean13_check(F.lit("400638133393"))) == 1
     assert one(spark, T.filled(F.lit("{a}-{b}"), F.create_map(F.lit("a"), F.lit("1")))) == "1-{b}"
     assert one(spark, T.wrapped(F.lit("aaa bb cccccccc"), 6)) == ["aaa bb", "cccccc", "cc"]
