@@ -1,6 +1,7 @@
 import pytest
 from conftest import DATA, same
 
+from quire.plans import more  # noqa: F401 - registers its queries
 from quire.plans.registry import ORACLES, QUERIES
 
 
