@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import random
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -11,35 +10,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-RECEIPT = "seed bigint, store string, items array<struct<name:string,qty:bigint,unit:bigint,price:bigint,rate:double>>, subtotal bigint, discount bigint, tax bigint, grand bigint, paid bigint, change bigint"
+from .sampling import uniform
+
 GOODS = (("rice", 18000), ("milk", 32000), ("tea", 25000), ("soap", 14000), ("paper", 6000), ("fish", 76000))
 
 
 def receipts(seeds: DataFrame) -> DataFrame:
-    """One bill per seed (seed bigint): the same for the same seed, wherever it is made."""
-
-    def bill(seed: int) -> dict:
-        rng = random.Random(seed)
-        items = []
-        for name, price in rng.sample(GOODS, rng.randint(1, len(GOODS))):
-            unit = round(price * rng.uniform(0.8, 1.2) / 500) * 500
-            qty = rng.randint(1, 9)
-            items.append({"name": name, "qty": qty, "unit": unit, "price": qty * unit, "rate": rng.choice((0.0, 0.05, 0.1))})
-        subtotal = sum(i["price"] for i in items)
-        discount = round(subtotal * rng.choice((0, 0, 0.05)))
-        by_rate: dict[float, int] = {}
-        for i in items:
-            by_rate[i["rate"]] = by_rate.get(i["rate"], 0) + i["price"]
-        tax = sum(round(net * rate) for rate, net in by_rate.items())
-        grand = subtotal - discount + tax
-        paid = -(-grand // 50000) * 50000
-        return {"seed": seed, "store": f"store {seed % 17}", "items": items, "subtotal": subtotal, "discount": discount, "tax": tax, "grand": grand, "paid": paid, "change": paid - grand}
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame([bill(int(s)) for s in f["seed"]], columns=["seed", "store", "items", "subtotal", "discount", "tax", "grand", "paid", "change"])
-
-    return seeds.select("seed").mapInPandas(run, RECEIPT)
+    """One bill per seed (seed bigint): the same for the same seed, wherever it is made.
+
+    Draws are hashes of the seed and a name, so a bill is a column expression: nothing leaves the JVM. The goods
+    are put in the order of their draws and the first ones taken; unit prices are whole 500s.
+    """
+    u = lambda name: uniform(F.col("seed"), F.lit(name))
+    pick = lambda name, values: F.element_at(F.array(*map(F.lit, values)), (F.floor(u(name) * len(values)) + 1).cast("int"))
+    goods = []
+    for name, price in GOODS:
+        unit = (F.bround(price * (0.8 + 0.4 * u(f"{name}:unit")) / 500, 0) * 500).cast("bigint")
+        qty = (F.floor(u(f"{name}:qty") * 9) + 1).cast("bigint")
+        goods.append(F.struct(u(f"{name}:place").alias("place"), F.lit(name).alias("name"), qty.alias("qty"), unit.alias("unit"), (qty * unit).alias("price"), pick(f"{name}:rate", (0.0, 0.05, 0.1)).alias("rate")))
+    taken = F.slice(F.array_sort(F.array(*goods)), 1, (F.floor(u("n") * len(GOODS)) + 1).cast("int"))
+    bills = seeds.select("seed", F.concat(F.lit("store "), F.pmod("seed", F.lit(17)).cast("string")).alias("store"), F.transform(taken, lambda g: F.struct(*[g[c].alias(c) for c in ("name", "qty", "unit", "price", "rate")])).alias("items"), pick("discount", (0.0, 0.0, 0.05)).alias("_off"))
+    added = lambda rate: F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, i: acc + F.when(F.lit(rate is None) | (i["rate"] == F.lit(rate or 0.0)), i["price"]).otherwise(0))
+    tax = sum((F.bround(added(rate) * rate, 0).cast("bigint") for rate in (0.05, 0.1)), F.lit(0).cast("bigint"))
+    bills = bills.withColumn("subtotal", added(None)).withColumn("discount", F.bround(F.col("subtotal") * F.col("_off"), 0).cast("bigint")).withColumn("tax", tax)
+    bills = bills.withColumn("grand", F.col("subtotal") - F.col("discount") + F.col("tax")).withColumn("paid", (F.ceil(F.col("grand") / 50000) * 50000).cast("bigint"))
+    return bills.withColumn("change", F.col("paid") - F.col("grand")).drop("_off")
 
 
 def receipt_problems(bills: DataFrame) -> DataFrame:

@@ -31,11 +31,17 @@ def against(df: DataFrame, shard: str, attribute: str) -> DataFrame:
 
 
 def drift(df: DataFrame, shard: str, attribute: str) -> DataFrame:
-    """Per shard: draws, total variation distance, its sampling noise, whether it is judged and drifted."""
-    p, n = F.col("p"), F.col("draws")
-    rows = against(df, shard, attribute)
-    noise = F.sqrt(2 * p * (1 - p) / (F.pi() * n))
-    out = rows.groupBy(shard).agg(F.max("draws").alias("draws"), F.round(0.5 * F.sum(F.abs(F.col("n") / n - p)), 6).alias("distance"), F.round(0.5 * F.sum(F.when((p > 0) & (p < 1), noise).otherwise(0.0)), 6).alias("noise"))
+    """Per shard: draws, total variation distance, its sampling noise, whether it is judged and drifted.
+
+    A value that a shard lacks adds its overall share to the distance, and those shares are what is left of 1; the
+    noise is one sum over all values, divided by the root of the draws. So shards meet only the values they have.
+    """
+    overall = shares(df, attribute).select("value", F.col("share").alias("p"))
+    p = F.col("p")
+    scatter = overall.agg(F.sum(F.when((p > 0) & (p < 1), F.sqrt(2 * p * (1 - p) / F.pi())).otherwise(0.0)).alias("scatter"))
+    seen = shares(df, attribute, [shard]).join(overall, "value")
+    out = seen.groupBy(shard).agg(F.max("draws").alias("draws"), F.sum(F.abs(F.col("n") / F.col("draws") - p)).alias("gaps"), F.sum(p).alias("seen")).join(F.broadcast(scatter))
+    out = out.withColumn("distance", F.round(0.5 * (F.col("gaps") + F.greatest(1 - F.col("seen"), F.lit(0.0))), 6)).withColumn("noise", F.round(0.5 * F.col("scatter") / F.sqrt("draws"), 6))
     judged = F.col("draws") >= MIN_DRAWS
     return out.select(shard, "draws", "distance", "noise", judged.alias("judged"), (judged & (F.col("distance") > TOLERANCE + F.col("noise"))).alias("drifted"))
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Seeds between the layouts of a backend, and between backends that don't share content.
 LAYOUT_STRIDE, BACKEND_STRIDE = 1000, 100000
+#: Rows of a table that is broadcast.
+SMALL = 10_000
 
 
 def quotas(layouts: DataFrame, count: int, order: str) -> DataFrame:
@@ -60,5 +62,5 @@ def product(*parts: DataFrame) -> DataFrame:
     """Every combination of small tables of styles."""
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(F.broadcast(p))
+        out = out.crossJoin(F.broadcast(p) if p.limit(SMALL + 1).count() <= SMALL else p)
     return out

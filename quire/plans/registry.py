@@ -497,9 +497,10 @@ def sampled_recipes(t, spark):
     return out.groupBy(F.col("attributes")["document"].alias("document"), F.col("attributes")["layout"].alias("layout"), F.col("attributes")["visual"].alias("visual")).count()
 
 
-@query("SELECT 'layout' AS attr, 'column' AS id, 'unsatisfiable' AS problem WHERE false")
+@query("SELECT * FROM (VALUES ('layout', 'lost', 'unsatisfiable'), ('visual', 'idle', 'no weight'), ('visual', 'none', 'duplicate')) AS p(attr, id, problem)")
 def invalid_options(t, spark):
-    return sampling.invalid(_options(spark))
+    faults = [(1, "layout", 3, "lost", 1.0, [], ["red"], []), (2, "visual", 2, "idle", 0.0, [], [], []), (2, "visual", 3, "none", 1.0, [], [], [])]
+    return sampling.invalid(_options(spark).unionByName(spark.createDataFrame(faults, sampling.SCHEMA)))
 
 
 # --- costs ---
@@ -539,9 +540,16 @@ def percent_table(t, spark):
     return stats.percent_table(df, "event_type", "p", ["p0", "p1", "p2"], "value")
 
 
-@query("SELECT process, path, seconds::DOUBLE AS seconds, round(seconds - coalesce(inner_, 0), 6)::DOUBLE AS own FROM (SELECT * FROM (VALUES (1, 'a', 10.0), (1, 'a/b', 4.0), (1, 'a/c', 3.5), (1, 'a/b/d', 1.25)) v(process, path, seconds)) LEFT JOIN (VALUES ('a', 7.5), ('a/b', 1.25)) w(path, inner_) USING (path)")
+@query("""
+WITH p AS (SELECT user_id % 6 AS process, 'run/' || event_type AS path, sum(value) AS v FROM events GROUP BY ALL), r AS (SELECT process, sum(v) AS v FROM p GROUP BY process),
+l AS (SELECT process, path || '/leaf' AS path, v / 4 AS v FROM p)
+SELECT process, path, round(v, 4) AS seconds, round(own, 4) AS own FROM (SELECT process, 'run' AS path, v + 1 AS v, 1.0::DOUBLE AS own FROM r UNION ALL SELECT process, path, v, v * 0.75 FROM p UNION ALL SELECT process, path, v, v FROM l)
+""")
 def exclusive_seconds(t, spark):
-    return stats.exclusive(spark.createDataFrame([(1, "a", 10.0), (1, "a/b", 4.0), (1, "a/c", 3.5), (1, "a/b/d", 1.25)], "process int, path string, seconds double"))
+    below = t("events").groupBy((F.col("user_id") % 6).alias("process"), F.concat(F.lit("run/"), "event_type").alias("path")).agg(F.sum("value").alias("seconds"))
+    top = below.groupBy("process").agg((F.sum("seconds") + 1).alias("seconds")).select("process", F.lit("run").alias("path"), "seconds")
+    leaf = below.select("process", F.concat("path", F.lit("/leaf")).alias("path"), (F.col("seconds") / 4).alias("seconds"))
+    return stats.exclusive(below.unionByName(top).unionByName(leaf)).select("process", "path", F.round("seconds", 4).alias("seconds"), F.round("own", 4).alias("own"))
 
 
 @query("SELECT event_id, user_id, before, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE value < before")
@@ -650,9 +658,16 @@ def propagated_labels(t, spark):
     return n.select("item_id", align.propagated(labels, "a", "b").alias("labels"))
 
 
-@query("SELECT 1 AS id, ['B-A', 'I-A', 'O', 'B-A', 'B-C', 'I-C', 'B-A'] AS labels")
+@query("""
+WITH RECURSIVE e AS (SELECT user_id, ['O', 'B-A', 'I-A', 'I-B', 'B-C'][(event_id * 7 + user_id) % 5 + 1] AS x, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+f AS (SELECT user_id, i, CASE WHEN x LIKE 'I-%' THEN 'B' || substr(x, 2) ELSE x END AS y, CASE WHEN x = 'O' THEN '' ELSE substr(x, 3) END AS open FROM e WHERE i = 1
+      UNION ALL SELECT e.user_id, e.i, CASE WHEN x LIKE 'I-%' AND f.open <> substr(x, 3) THEN 'B' || substr(x, 2) ELSE x END, CASE WHEN x = 'O' THEN '' ELSE substr(x, 3) END FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1)
+SELECT user_id, string_agg(y, ' ' ORDER BY i) AS labels FROM f GROUP BY user_id
+""")
 def orphan_label_fix(t, spark):
-    return spark.createDataFrame([(1, ["B-A", "I-A", "O", "I-A", "I-C", "I-C", "I-A"])], "id int, labels array<string>").select("id", align.corrected_labels(F.col("labels")).alias("labels"))
+    raw = F.element_at(F.array(*map(F.lit, ["O", "B-A", "I-A", "I-B", "B-C"])), ((F.col("event_id") * 7 + F.col("user_id")) % 5 + 1).cast("int"))
+    rows = t("events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", raw.alias("x")))), lambda e: e["x"]).alias("raw"))
+    return rows.select("user_id", F.array_join(align.corrected_labels(F.col("raw")), " ").alias("labels"))
 
 
 @query("""
@@ -670,19 +685,44 @@ def _bills(t):
     return documents.receipts(t("orders").select(F.col("o_orderkey").alias("seed")))
 
 
-@query()
+def _u(name: str) -> str:
+    return _U.format(key=f"seed || ':' || {name}")
+
+
+_GOODS = "[{'name': 'rice', 'price': 18000}, {'name': 'milk', 'price': 32000}, {'name': 'tea', 'price': 25000}, {'name': 'soap', 'price': 14000}, {'name': 'paper', 'price': 6000}, {'name': 'fish', 'price': 76000}]"
+#: The bills as the generator draws them, in SQL: i has their items, b their sums.
+_BILLS = f"""
+WITH g AS (SELECT o_orderkey AS seed, unnest({_GOODS}) AS g FROM orders),
+d AS (SELECT seed, g.name AS name, {_u("g.name || ':place'")} AS place, 1 + floor({_u("g.name || ':qty'")} * 9)::BIGINT AS qty, (round_even(g.price * (0.8::DOUBLE + 0.4::DOUBLE * {_u("g.name || ':unit'")}) / 500, 0) * 500)::BIGINT AS unit,
+      [0.0, 0.05, 0.1][(1 + floor({_u("g.name || ':rate'")} * 3))::INT]::DOUBLE AS rate, 1 + floor({_u("'n'")} * 6)::INT AS n, [0.0, 0.0, 0.05][(1 + floor({_u("'discount'")} * 3))::INT]::DOUBLE AS off FROM g),
+i AS (SELECT *, qty * unit AS price FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY place, name) AS k FROM d) WHERE k <= n),
+s AS (SELECT seed, sum(price)::BIGINT AS subtotal, max(off) AS off, round_even(coalesce(sum(price) FILTER (rate = 0.05::DOUBLE), 0)::BIGINT * 0.05::DOUBLE, 0)::BIGINT + round_even(coalesce(sum(price) FILTER (rate = 0.1::DOUBLE), 0)::BIGINT * 0.1::DOUBLE, 0)::BIGINT AS tax FROM i GROUP BY seed),
+b AS (SELECT seed, subtotal, round_even(subtotal * off, 0)::BIGINT AS discount, tax, subtotal - round_even(subtotal * off, 0)::BIGINT + tax AS grand FROM s)
+"""
+_DOTS = "replace(format('{{:,}}', {}), ',', '.')"
+
+
+@query(_BILLS + f"""
+, m AS (SELECT seed, string_agg('{{"nm":"' || name || '","cnt":"' || qty || '","unitprice":"' || {_DOTS.format("unit")} || '","price":"' || {_DOTS.format("price")} || '"}}', ',' ORDER BY k) AS menu FROM i GROUP BY seed)
+SELECT seed, '{{"store":{{"name":"store ' || seed % 17 || '"}},"menu":[' || menu || '],"total":{{"subtotal":"' || {_DOTS.format("subtotal")} || CASE WHEN discount > 0 THEN '","discount":"' || {_DOTS.format("discount")} ELSE '' END || '","total":"' || {_DOTS.format("grand")} || '"}}}}' AS label FROM b JOIN m USING (seed)
+""")
 def generated_receipts(t, spark):
     return documents.ground_truth(_bills(t))
 
 
-@query("SELECT o_orderkey AS seed, ['line'] AS problems FROM orders WHERE false")
+@query("SELECT o_orderkey AS seed, CASE WHEN o_orderkey % 35 = 0 THEN ['subtotal', 'change'] WHEN o_orderkey % 5 = 0 THEN ['subtotal', 'grand'] ELSE ['grand', 'change'] END AS problems FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0")
 def receipt_problems(t, spark):
-    return documents.receipt_problems(_bills(t))
+    k = F.col("seed")
+    bills = _bills(t).withColumn("subtotal", F.col("subtotal") + (k % 5 == 0).cast("int")).withColumn("grand", F.col("grand") + (k % 7 == 0).cast("int"))
+    return documents.receipt_problems(bills)
 
 
-@query("SELECT o_orderkey AS seed, 0 AS row FROM orders WHERE false")
+@query(_BILLS + f"""
+SELECT seed, k::INT AS row FROM i WHERE length(name || ' x' || qty) > 13 - length({_DOTS.format('price')})
+UNION ALL SELECT seed, n + 1 FROM b JOIN (SELECT seed, max(n)::INT AS n FROM i GROUP BY seed) USING (seed) WHERE length('total') > 13 - length({_DOTS.format('grand')})
+""")
 def layout_overflow(t, spark):
-    return documents.cell_overflow(documents.cells(_bills(t))).select("seed", "row")
+    return documents.cell_overflow(documents.cells(_bills(t), 13), 13).select("seed", "row")
 
 
 @query()
