@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import baseline, costs, drift, inspect, labels, layout, proof, sampling, stats
+from ..operators import baseline, costs, drift, inspect, labels, layout, proof, sampling, sheets, stats, tables
 from ..sources import rules as rule_files
 from . import runs
 from .registry import query
@@ -790,3 +790,60 @@ def grid_marks(t, spark):
 def grid_column_header(t, spark):
     s = layout.column_header(COLUMNS)
     return spark.range(1).select(F.explode(s["cells"]).alias("c")).select("c.text", "c.col0", "c.col1")
+
+
+# --- sheets ---
+
+SHEET = [{"key": "no", "title": "No", "align": "center"}, {"key": "name", "title": "Goods & more"}, {"key": "amount", "title": "Amount", "align": "right"}]
+
+
+@query("WITH " + _ITEMS + """
+, b AS (SELECT o_orderkey, count(*) AS n, string_agg('<tr><td data-cell="menu.no" data-row="' || i2 || '" data-col="0" class="c"><span data-kind="menu.no">' || i || '</span></td><td data-cell="menu.name" data-row="' || i2 || '" data-col="1"><span data-kind="menu.name">' || name || '</span></td><td data-cell="menu.amount" data-row="' || i2 || '" data-col="2" class="r"><span data-kind="menu.amount">' || amount || '</span></td></tr>', '' ORDER BY i2) AS body FROM r GROUP BY o_orderkey),
+s AS (SELECT l_orderkey AS o_orderkey, format('{:,}', round_even(sum(l_extendedprice), 0)::BIGINT) AS v FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, '<table class="items"><thead><tr><th data-cell="colhdr" data-row="0" data-col="0" class="c"><span data-kind="colhdr">No</span></th><th data-cell="colhdr" data-row="0" data-col="1"><span data-kind="colhdr">Goods &amp; more</span></th><th data-cell="colhdr" data-row="0" data-col="2" class="r"><span data-kind="colhdr">Amount</span></th></tr></thead><tbody>' || body ||
+ '<tr class="total"><td data-cell="total.line.label" data-row="' || n + 1 || '" data-col="0" colspan="2" class="tlabel"><span data-kind="total.line.label">Sum</span></td><td data-cell="total.line" data-row="' || n + 1 || '" data-col="2" class="r"><span data-kind="total.line">' || v || '</span></td></tr><tr class="grand"><td data-cell="total.grand.label" data-row="' || n + 2 || '" data-col="0" colspan="2" class="tlabel"><span data-kind="total.grand.label">To pay</span></td><td data-cell="total.grand" data-row="' || n + 2 || '" data-col="2" class="r"><span data-kind="total.grand">' || v || '</span></td></tr></tbody></table>' AS markup
+FROM b JOIN s USING (o_orderkey)
+""")
+def sheet_items(t, spark):
+    return _bills(t).select("o_orderkey", sheets.items_table(F.col("entries"), SHEET, VALUES, totals=F.col("totals"), grand=F.lit(1)).alias("markup"))
+
+
+@query("""
+WITH b AS (SELECT l_orderkey AS o_orderkey, format('{:,}', round_even(sum(l_extendedprice), 0)::BIGINT) AS v FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, '<div class="totals"><div class="t"><span data-kind="total.line.label" class="k">Sum</span><span data-kind="total.line" class="v">' || v || '</span></div><div class="t grand"><span data-kind="total.grand.label" class="k">To pay</span><span data-kind="total.grand" class="v">' || v || '</span></div></div>' AS totals,
+ '<div class="footer"><div><span data-kind="footer">Thank you</span></div><div><span data-kind="footer">Bill ' || o_orderkey || '</span></div></div>' AS footer, '<div class="words"><span data-kind="invoice.words">In words ' || v || '</span></div>' AS words, '<div class="signs"><div class="sign"><span data-kind="sign.title">Seller</span><span data-kind="sign.name">' || v || '</span></div></div>' AS signs FROM b
+""")
+def sheet_blocks(t, spark):
+    value = F.col("totals")[0]["value"]
+    sign = F.array(F.struct(F.lit("Seller").alias("title"), F.lit("").alias("hint"), value.alias("name")))
+    return _bills(t).select("o_orderkey", sheets.totals_block(F.col("totals"), F.lit(1)).alias("totals"), sheets.footer_block(F.col("footer")).alias("footer"), sheets.words_block("In words", value).alias("words"), sheets.signature_block(sign).alias("signs"))
+
+
+@query("SELECT o_orderkey, ['No', 'Goods & more', 'Amount'] AS head, count(*) + 1 AS rows, sum(CASE WHEN k < 3 THEN 1 ELSE 0 END)::BIGINT AS cells FROM (SELECT l_orderkey AS o_orderkey, k FROM lineitem, (SELECT unnest([0, 1, 2]) AS k) WHERE k = 0) GROUP BY o_orderkey")
+def sheet_read_back(t, spark):
+    markup = sheets.document([sheets.items_table(F.col("entries"), SHEET, VALUES)], title=F.lit("a < b"))
+    cells = _bills(t).select("o_orderkey", tables.cells_of(markup).alias("c"))
+    first = F.transform(F.filter("c", lambda x: x["tag"] == "th"), lambda x: x["text"])
+    return cells.select("o_orderkey", first.alias("head"), (F.array_max(F.transform("c", lambda x: x["row"])) + 1).cast("bigint").alias("rows"), (F.size(F.filter("c", lambda x: (x["tag"] == "td") & (x["col"] == 0)))).cast("bigint").alias("cells"))
+
+
+@query("SELECT n_nationkey AS seed, 48::BIGINT AS covered, 0::BIGINT AS twice, true AS same FROM nation")
+def made_tables(t, spark):
+    cells = sheets.made_tables(t("nation").select(F.col("n_nationkey").cast("bigint").alias("seed")), 8, 6)
+    area = cells.groupBy("seed").agg(F.sum(F.col("rowspan") * F.col("colspan")).alias("covered"))
+    twice = tables.span_problems(cells, "seed").groupBy("seed").agg(F.count("*").alias("twice"))
+    pages = sheets.table_pages(cells).select("seed", F.explode(tables.cells_of("markup")).alias("c")).select("seed", "c.row", "c.col", "c.rowspan", "c.colspan", "c.text")
+    matched = cells.select("seed", "row", "col", "rowspan", "colspan", "text").join(pages, ["seed", "row", "col", "rowspan", "colspan", "text"], "full_outer").groupBy("seed").agg(F.count("*").alias("n"))
+    same = matched.join(cells.groupBy("seed").agg(F.count("*").alias("m")), "seed").select("seed", (F.col("n") == F.col("m")).alias("same"))
+    return area.join(twice, "seed", "left").join(same, "seed").select("seed", "covered", F.coalesce("twice", F.lit(0)).cast("bigint").alias("twice"), "same")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, '{"file_name":"t' || l_orderkey || '","task":"table_structure","ground_truth":"<t>","structure_tokens":["<td>","</td>"],"cells":[{"tokens":["x"],"bbox":[[[' || x0 || ',1.0],[' || x1 || ',1.0],[' || x1 || ',3.0],[' || x0 || ',3.0]]]}],"n_cells":1}' AS record
+FROM (SELECT l_orderkey, l_linenumber, round(l_quantity * 0.5, 1) AS x0, round((l_quantity + 4) * 0.5, 1) AS x1 FROM lineitem)
+""")
+def structure_records(t, spark):
+    box = sheets.quad(F.col("l_quantity"), F.lit(2.0), F.lit(4.0), F.lit(4.0), 0.5)
+    cells = F.array(F.struct(F.array(F.lit("x")).alias("tokens"), F.array(box).alias("bbox")))
+    record = sheets.structure_record(F.concat(F.lit("t"), F.col("l_orderkey").cast("string")), F.array(F.lit("<td>"), F.lit("</td>")), cells, F.lit("<t>"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", record.alias("record"))
