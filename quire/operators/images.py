@@ -158,19 +158,147 @@ def pepper_then_salt(x, rng, pepper_amount=0.05, salt_amount=0.1):
 
 @action
 def halftone_screen(x, rng, cell=4.0, angle=45.0, strength=0.65):
-    """Dots on a turned grid, larger where the page is darker, mixed in by strength."""
+    """Dots of a turned screen of crossed waves: paper where the page is lighter than the screen, ink elsewhere, mixed in
+    by strength. No strength or no cell leaves the page as it is."""
+    if strength <= 0 or cell <= 0:
+        return x
     y, c = np.mgrid[: x.shape[0], : x.shape[1]]
-    turn, start = np.deg2rad(angle), rng.uniform(0, cell, 2)
-    u, v = c * np.cos(turn) + y * np.sin(turn) + start[0], y * np.cos(turn) - c * np.sin(turn) + start[1]
-    level = 127.5 + 63.75 * (np.cos(2 * np.pi * u / cell) + np.cos(2 * np.pi * v / cell))
-    return (1 - strength) * x + strength * np.where(x > level, 255.0, 0.0)
+    turn = np.deg2rad(angle)
+    u, v = (c * np.cos(turn) + y * np.sin(turn)) / cell, (y * np.cos(turn) - c * np.sin(turn)) / cell
+    screen = 127.5 * (np.sin(2 * np.pi * u) * np.sin(2 * np.pi * v) + 1)
+    mixed = (1 - strength) * x + strength * np.where(x > screen, 255.0, 0.0)
+    return np.where(x >= 1, mixed, x * mixed)
 
 
 @action
 def scan_banding(x, rng, period=38.0, amplitude=0.055, tilt=0.0):
-    """Light and dark bands across the page."""
+    """Light and dark bands across the page, tilted by degrees: fine ones of the period, and coarse ones of about ten."""
+    if amplitude <= 0 or period <= 1:
+        return x
+    y, c = np.mgrid[: x.shape[0], : x.shape[1]]
+    along, phase, wide = y + c * np.tan(np.deg2rad(tilt)), rng.uniform(0, 2 * np.pi), rng.uniform(7, 13)
+    fine, coarse = np.sin(2 * np.pi * along / period + phase), np.sin(2 * np.pi * along / (period * wide) + phase / 2)
+    return x * (1 + amplitude * (0.72 * fine + 0.28 * coarse))
+
+
+#: The luminance quantisers of the JPEG standard, by rows.
+LUMINANCE = np.array(
+    """16 11 10 16 24 40 51 61  12 12 14 19 26 58 60 55  14 13 16 24 40 57 69 56  14 17 22 29 51 87 80 62
+    18 22 37 56 68 109 103 77  24 35 55 64 81 104 113 92  49 64 78 87 103 121 120 101  72 92 95 98 112 100 103 99""".split(),
+    float,
+).reshape(8, 8)
+_K = np.arange(8)
+_WAVES = np.sqrt(np.where(_K[:, None] == 0, 0.125, 0.25)) * np.cos(np.pi * (2 * _K[None, :] + 1) * _K[:, None] / 16)
+
+
+def _coarser(x: np.ndarray, quality: int) -> np.ndarray:
+    """The page after its blocks of 8 by 8 have lost what quantisers of that quality lose."""
+    scale = 5000 / quality if quality < 50 else 200 - 2 * quality
+    step = np.clip(np.floor((LUMINANCE * scale + 50) / 100), 1, 255)
+    h, w = x.shape
+    p = np.pad(x, ((0, -h % 8), (0, -w % 8)), mode="edge") - 128
+    blocks = p.reshape(p.shape[0] // 8, 8, p.shape[1] // 8, 8).transpose(0, 2, 1, 3)
+    back = _WAVES.T @ (np.rint(_WAVES @ blocks @ _WAVES.T / step) * step) @ _WAVES
+    return back.transpose(0, 2, 1, 3).reshape(p.shape)[:h, :w] + 128
+
+
+@action
+def jpeg_blocks(x, rng, quality=28, passes=2):
+    """Saved that many times, each time a little worse, but never below a quality of 5."""
+    for i in range(passes):
+        x = np.clip(np.rint(_coarser(x, max(int(quality) - 4 * i, 5))), 0, 255)
+    return x
+
+
+PLACES = ("center", "border", "corner")
+
+
+def ragged(n: int, rng: np.random.Generator, roughness: float = 1.0) -> np.ndarray:
+    """The depth of a tear along n places, from 0.05 to 1: a random walk smoothed widely and narrowly."""
+
+    def walk(width: int) -> np.ndarray:
+        path = np.convolve(np.cumsum(rng.standard_normal(n)), np.ones(max(1, width)) / max(1, width), "same")
+        path -= path.mean()
+        return path / max(np.abs(path).max(), 1e-9)
+
+    return np.clip(0.55 + roughness * (0.3 * walk(max(n // 6, 3)) + 0.055 * walk(max(n // 90, 2))), 0.05, 1)
+
+
+def torn(size: int, rng: np.random.Generator, roughness: float = 1.0, place: str = "center") -> np.ndarray:
+    """True where the paper is gone in a square: from its upper edge, from its upper left corner, or around its middle."""
+    size = max(int(size), 8)
+    y, c = np.mgrid[:size, :size]
+    if place == "border":
+        return y < (ragged(size, rng, roughness) * size)[None, :]
+    if place == "corner":
+        return y + c < (ragged(2 * size, rng, roughness) * size * 1.3)[np.clip(c - y + size, 0, 2 * size - 1)]
+    angle = np.arctan2(y - size / 2, c - size / 2)
+    radius = 1 + roughness * sum(w * np.sin(k * angle + rng.uniform(0, 2 * np.pi)) for k, w in ((2, 0.3), (3, 0.22), (5, 0.14), (9, 0.09), (17, 0.05), (31, 0.03)))
+    return np.hypot(y - size / 2, c - size / 2) < np.clip(radius, 0.25, 2) * size * 0.46
+
+
+@action
+def holes(x, rng, count=2, place="border", size_ratio=0.05, fill=0.0, outside=0.0, roughness=1.0, shadow=3, shade=0.45):
+    """Torn holes at the page's middle, borders or corners, of a colour of their own, with a shade along their edge.
+
+    outside: the share of a hole that lies beyond its border or corner.
+    """
+    if place not in PLACES:
+        raise ValueError(f"holes are at one of {PLACES}")
+    h, w = x.shape
+    size = max(int(size_ratio * min(h, w)), 8)
+    gone = np.zeros(x.shape, bool)
+    for _ in range(int(count)):
+        turn = int(rng.integers(4)) if place != "center" else 0
+        mask = np.rot90(torn(size, rng, roughness, place), turn)
+        out = int(size * outside) if place != "center" else 0
+        far = {"top": -out, "left": -out, "bottom": h - size + out, "right": w - size + out}
+        along = lambda span: int(rng.integers(-(size // 3), max(span - size + size // 3, 1 - size // 3)))
+        if place == "center":
+            top, left = int(rng.integers(max(h - size, 1))), int(rng.integers(max(w - size, 1)))
+        elif place == "border":
+            side = ("top", "left", "bottom", "right")[turn]
+            top, left = (far[side], along(w)) if side in ("top", "bottom") else (along(h), far[side])
+        else:
+            top, left = (far["top"], far["bottom"])[turn in (1, 2)], (far["left"], far["right"])[turn in (2, 3)]
+        a, b = max(top, 0), max(left, 0)
+        part = mask[a - top : h - top, b - left : w - left]
+        gone[a : a + part.shape[0], b : b + part.shape[1]] |= part
+    edge = gone
+    out = x.copy()
+    for k in range(shadow):
+        wider = _around(edge.astype(float), kernel(3, 3), np.maximum, 0.0) > 0
+        out[wider & ~edge] *= 1 - shade * (1 - k / shadow)
+        edge = wider
+    out[gone] = fill
+    return out
+
+
+@action
+def pattern_stamp(x, rng, pattern=None, alpha=0.5, scale=1.0):
+    """A pattern laid at a random place of the page and multiplied in by alpha; a ring where none is given."""
+    if pattern is None:
+        n = max(8, int(scale * min(x.shape) / 4))
+        y, c = np.mgrid[:n, :n]
+        far = np.hypot(y - n / 2, c - n / 2) / (n / 2)
+        pattern = np.where((far > 0.8) & (far < 0.95), 60.0, 255.0)
+    h, w = min(pattern.shape[0], x.shape[0]), min(pattern.shape[1], x.shape[1])
+    top, left = int(rng.integers(x.shape[0] - h + 1)), int(rng.integers(x.shape[1] - w + 1))
+    out = x.copy()
+    out[top : top + h, left : left + w] *= 1 - alpha + alpha * pattern[:h, :w] / 255
+    return out
+
+
+@action
+def stain(x, rng, count=1, strength=0.3, size_ratio=0.3):
+    """Soft stains that darken the paper and leave the ink, darker at their rim."""
     y, c = np.mgrid[: x.shape[0], : x.shape[1]]
-    return x * (1 + amplitude * np.sin(2 * np.pi * (y + tilt * c) / period + rng.uniform(0, 2 * np.pi)))
+    gain = np.ones(x.shape)
+    for _ in range(count):
+        radius = max(2.0, size_ratio * min(x.shape) * rng.uniform(0.5, 1))
+        far = np.hypot(y - rng.uniform(0, x.shape[0]), c - rng.uniform(0, x.shape[1])) / radius
+        gain *= 1 - strength * np.where(far < 1, 0.4 + 0.6 * far**4, 0.0)
+    return x * gain
 
 
 @action
