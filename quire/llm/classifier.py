@@ -7,7 +7,9 @@ part is below zero, the step goes the other way. The prior is estimated first: a
 positives against unlabelled text ranks held-back rows, and the prior is the least ratio, over score
 thresholds, of the unlabelled rows above it (with a confidence margin) to the positives above it.
 
-The features are rates over the whole text, read once; the model is linear in them, each at three scales.
+The features are read from the whole text, once: rates of its characters, words and lines, and how often each
+class of words and of three bytes in a row occurs, by hash. The model is linear in them, the rates each at
+three scales.
 """
 
 from __future__ import annotations
@@ -24,25 +26,44 @@ from pyspark.sql import functions as F
 from .common import tune
 
 #: Most positives, and most unlabelled rows, that the model is fitted on.
-ROWS = 12_000
-STEPS, RATE, DECAY = 600, 0.05, 1e-4
+ROWS = 4_000
+#: The weights of rates, and those of the many classes, are drawn to 0 by so much.
+STEPS, RATE, DECAY, CLASS_DECAY = 600, 0.05, 1e-4, 3e-3
+#: Classes of words, and of three bytes.
+CLASSES = 256
 THRESHOLD = 0.7
 #: Texts that don't fall in this residue class of the id's CRC-32 may give their label.
 PARTS, HELD_OUT = 4, 2
 NAMES = ("symbols", "bangs", "capitals", "digits", "word_length", "word_spread", "distinct", "repeated", "duplicate_lines", "long_words", "stops", "log_words", "beyond_ascii", "no_words")
 
 
-def features(text: bytes | None) -> list[float]:
-    """Rates of a text as UTF-8; that without words has zeros and the last feature."""
+def features(text: bytes | None) -> np.ndarray:
+    """Rates of a text as UTF-8, and the roots of the shares of its classes; that without words has zeros but for the
+    last rate."""
     text = text or b""
     words = text.split()
     n = len(words)
     if not n:
-        return [0.0] * (len(NAMES) - 1) + [1.0]
+        return np.array([0.0] * (len(NAMES) - 1) + [1.0] + [0.0] * 2 * CLASSES, np.float32)
+    code = np.fromiter(map(hash_word, words), np.uint64, n)
+    return np.concatenate([rates(text, words, code), np.sqrt(np.bincount((code & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES) / n), np.sqrt(byte_classes(text) / max(1, len(text) - 2))]).astype(np.float32)
+
+
+def byte_classes(text: bytes) -> np.ndarray:
+    """How often each class of three bytes in a row occurs; a piece of the text at a time."""
+    out = np.zeros(CLASSES)
+    for at in range(0, max(0, len(text) - 2), 1 << 20):
+        b = np.frombuffer(text, np.uint8, min(len(text) - at, (1 << 20) + 2), at).astype(np.uint32)
+        three = b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)
+        out += np.bincount((three * np.uint32(2654435761)) >> np.uint32(24), minlength=CLASSES)
+    return out
+
+
+def rates(text: bytes, words: list[bytes], code: np.ndarray) -> list[float]:
+    n = len(words)
     kind = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     size = np.fromiter(map(len, words), np.float64, n)
     chars = size.sum()
-    code = np.fromiter(map(hash_word, words), np.uint64, n)
     three = code[:-2] * np.uint64(0x9E3779B97F4A7C15) + code[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + code[2:] if n > 2 else code[:0]
     lines = [x for x in text.split(b"\n") if x.strip()]
     letters = kind[65:91].sum() + kind[97:123].sum()
@@ -69,8 +90,9 @@ def hash_word(word: bytes) -> int:
 
 
 def expand(x: np.ndarray) -> np.ndarray:
-    """Each rate at three scales, so that a trace of something counts beside a lot of it."""
-    return np.hstack([np.minimum(x, 1.5), np.minimum(x * 8, 1), np.minimum(x * 50, 1)])
+    """Each rate at three scales, so that a trace of something counts beside a lot of it; classes as they are."""
+    r = x[:, : len(NAMES)].astype(np.float64)
+    return np.hstack([np.minimum(r, 1.5), np.minimum(r * 8, 1), np.minimum(r * 50, 1), x[:, len(NAMES) :]])
 
 
 @dataclass(frozen=True)
@@ -94,6 +116,7 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None) -> tuple[np.ndarray,
     """Weights by Adam over all rows. prior None: plain positives against unlabelled, each class with half the weight."""
     d = p.shape[1]
     w, m, v = np.zeros(d + 1), np.zeros(d + 1), np.zeros(d + 1)
+    decay = np.concatenate([np.full(3 * len(NAMES), DECAY), np.full(max(0, d - 3 * len(NAMES)), CLASS_DECAY), [0.0]])[-d - 1 :]
     p, u = np.hstack([p, np.ones((len(p), 1))]), np.hstack([u, np.ones((len(u), 1))])
     for step in range(1, STEPS + 1):
         zp, zu = p @ w, u @ w
@@ -104,7 +127,7 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None) -> tuple[np.ndarray,
         else:
             rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
             g = prior * up + (uu - prior * un) if rest >= 0 else prior * un - uu
-        g = g + DECAY * np.append(w[:-1], 0)
+        g = g + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -121,12 +144,13 @@ def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
 
 def train(p: np.ndarray, u: np.ndarray, prior: float | None = None) -> Model:
     """The model of features of positives and unlabelled rows. Of no positives or nothing unlabelled: all score alike."""
-    d = 3 * len(NAMES)
+    d = 3 * len(NAMES) + 2 * CLASSES
     if not len(p) or not len(u):
         return Model(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 0.5)
     p, u = expand(p), expand(u)
     both = np.vstack([p, u])
-    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-2)
+    # A class that varies little tells little: its share isn't blown up to the rates' size.
+    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), np.where(np.arange(d) < 3 * len(NAMES), 1e-2, 1e-1))
     p, u = (p - mean) / scale, (u - mean) / scale
     if prior is None:
         w, b = _fit(p[::2], u[::2], None)
@@ -139,14 +163,14 @@ def residue(doc_id: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, x): the features of each whole text."""
+    """(doc_id, x): the features of each whole text, as the bytes of 32-bit floats."""
     tune(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([features(t) for t in b.column("b").to_pylist()], pa.list_(pa.float64()))], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([features(t).tobytes() for t in b.column("b").to_pylist()], pa.binary())], names=["doc_id", "x"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("b")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    return docs.select("doc_id", F.col("text").cast("binary").alias("b")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, x binary")
 
 
 def fitted(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
@@ -164,10 +188,10 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     share = lambda n: min(1 << 20, -(-(rows << 20) // max(1, n)))
     kept = known.where(place < max(share(n_good), share(n_all)))
     sample = measured(kept.select("doc_id", "text")).withColumn("place", place).join(good.withColumn("good", F.lit(True)), "doc_id", "left").where((F.col("good") & (F.col("place") < share(n_good))) | (F.col("place") < share(n_all)))
-    got = sample.orderBy("place", "doc_id", F.hash("x")).limit(3 * rows).collect()
-    as_array = lambda x: np.array([r["x"] for r in x], np.float64).reshape(-1, len(NAMES))
-    p, u = [r for r in got if r["good"] and r["place"] < share(n_good)], [r for r in got if r["place"] < share(n_all)]
-    return train(as_array(p), as_array(u))
+    got = sample.orderBy("place", "doc_id", F.hash("x")).limit(3 * rows).select("x", "place", F.coalesce("good", F.lit(False)).alias("good")).toArrow()
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, len(NAMES) + 2 * CLASSES)
+    at, good_ = (got.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("place", "good"))
+    return train(x[good_.astype(bool) & (at < share(n_good))], x[at < share(n_all)])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

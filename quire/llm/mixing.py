@@ -109,9 +109,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPE
 
     hi = F.sum(F.floor("target").cast("long")).over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
     shares = sources.select("src", (hi - F.floor("target")).alias("lo"), hi.alias("hi"), F.lit(total).alias("total"))
-    plan = cut(schedule(shares, -(-total // words)))
-    taken = plan.groupBy("src").agg(F.count("*").alias("slots"))
-    limits = bounded_broadcast(cut(sources.join(taken, "src").select("src", "source_size", F.least(F.col("slots") * words, F.col("source_size") * repeats).alias("end"))), SMALL)
+    slots = -(-total // words)
+    plan = cut(schedule(shares, slots))
+    # A share below a slot may hold no point: such a source gets a slot after all others, cut at its target.
+    without = shares.where("hi > lo").join(plan.select("src").distinct(), "src", "left_anti")
+    late = without.select((F.row_number().over(Window.orderBy("src")) - 1 + slots).cast("bigint").alias("slot"), "src", F.lit(0).cast("bigint").alias("rank"))
+    plan = cut(plan.unionByName(late))
+    taken = plan.groupBy("src").agg(F.count("*").alias("slots"), F.max(F.col("slot") >= slots).alias("late"))
+    words_of = F.when(F.col("late"), F.floor("target")).otherwise(F.col("slots") * words)
+    limits = bounded_broadcast(cut(sources.join(taken, "src").select("src", "source_size", F.least(words_of, F.col("source_size") * repeats).alias("end"))), SMALL)
     laps = placed.where("size > 0").join(limits, "src").select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("lap"))
     laps = laps.withColumn("a", F.col("lap") * F.col("source_size") + F.col("start")).where("a < end").withColumn("z", F.least(F.col("a") + F.col("size"), "end"))
     blocks = laps.select("*", F.explode(F.sequence(F.floor(F.col("a") / words), F.floor((F.col("z") - 1) / words))).alias("rank"))
