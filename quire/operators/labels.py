@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from . import align
+from .align import GAP_CHAR, align, token_map
 
 _BEGIN, _INSIDE = r"^\s*B-([a-zA-Z|]+)\s*$", r"^\s*I-([a-zA-Z|]+)\s*$"
 #: Characters that may mark a gap, the usual one first.
-PRINTABLE = align.GAP_CHAR + "".join(sorted(set(string.printable) - set(string.whitespace) - {align.GAP_CHAR}))
+PRINTABLE = GAP_CHAR + "".join(sorted(set(string.printable) - set(string.whitespace) - {GAP_CHAR}))
 EMPTY, EMPTY_LABEL = "<<<<EMPTY_OCR_SENTENCE>>>>", "O"
 
 
@@ -66,7 +66,7 @@ def display(tokens: Column, labels: Column, label_top: bool = True) -> Column:
 @F.pandas_udf(ArrayType(ArrayType(IntegerType())))
 def token_maps(gt: pd.Series, noise: pd.Series) -> pd.Series:
     """For each clean token the places of the noisy ones that it is aligned with."""
-    return pd.Series([align.token_map(*align.align(" ".join(a), " ".join(b))) for a, b in zip(gt, noise, strict=True)])
+    return pd.Series([token_map(*align(" ".join(a), " ".join(b))) for a, b in zip(gt, noise, strict=True)])
 
 
 def projected_sentences(docs: DataFrame, key: str) -> DataFrame:
@@ -137,7 +137,7 @@ def _bare(text: str, gap: str) -> bool:
     return not text.replace(gap, "").strip()
 
 
-def word_stats(src: str, target: str, gap: str = align.GAP_CHAR) -> tuple[int, ...]:
+def word_stats(src: str, target: str, gap: str = GAP_CHAR) -> tuple[int, ...]:
     """Counts over an aligned pair: target's words, and those that stand whole inside stretches where both agree.
 
     A stretch's first word counts if a blank on both sides, the text's begin or nothing but gaps is before it; its
