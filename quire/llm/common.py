@@ -12,8 +12,9 @@ GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A key is hot if it has more than this part of all rows; then it is joined in so many parts.
-HOT, PARTS = 1024, 32
+#: A key is hot if it has more than this part of all rows; then it is joined in so many parts. So few rows in all are
+#: work for one task whatever their keys.
+HOT, PARTS, FEW = 1024, 32, 20_000
 
 #: Rows of one Arrow batch. Texts may be long, so it is far below Spark's default of 10,000.
 BATCH_ROWS = 512
@@ -59,16 +60,19 @@ def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def salted_join(rows: DataFrame, side: DataFrame, key: str, counted: DataFrame | None = None) -> DataFrame:
+def salted_join(rows: DataFrame, side: DataFrame, key: str, counted: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """rows joined with side on key, a key that holds many of the rows in PARTS parts.
 
     Fewer than HOT keys can be hot, so only so many are broadcast. Rows of a hot key are dealt by the hash of
     all they hold, and side's rows of it are repeated for each part. counted: rows of the same keys that are
-    cheaper to count than rows are. Null keys find nothing.
+    cheaper to count than rows are. counts: (key, n), where the keys have been counted already. Null keys find nothing.
     """
     counted = rows if counted is None else counted
     total = counted.count()
-    hot = F.broadcast(counted.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") * HOT > total).select(key, F.lit(True).alias("_hot")))
+    if total <= FEW:
+        return rows.join(side, key)
+    counts = counted.groupBy(key).agg(F.count("*").alias("n")) if counts is None else counts
+    hot = F.broadcast(counts.where(F.col("n") * HOT > total).select(key, F.lit(True).alias("_hot")))
     parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
     mine = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS)).cast("int")).otherwise(F.lit(0))
     left = rows.join(hot, key, "left").select(*rows.columns, mine.alias("_part"))

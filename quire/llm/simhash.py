@@ -17,12 +17,12 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_broadcast, cut, salted_join, tune
@@ -241,8 +241,10 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
 WIDE, MISSED = 4, 0.01
 #: Ids of texts to be compared are broadcast if there are so many at most; more are joined by a shuffle.
 ASKED = 500_000
+#: Words of parities.
+PARITY = 2
 #: Documents whose shingles are counted, and the most frequent of these shingles that are kept.
-SAMPLED, COMMON = 20_000, 200_000
+SAMPLED, COMMON = 10_000, 200_000
 
 
 def apart(similarity: float) -> float:
@@ -259,41 +261,69 @@ def tables_for(n: int, similarity: float) -> tuple[int, int]:
     return math.ceil(math.log(MISSED) / math.log(1 - (1 - apart(similarity)) ** bits)), bits
 
 
-def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, sig, w0, w1, ...): long fingerprints of shingle sets; sig is the set's own hash, and the words after
-    the first are of remixed shingle hashes."""
+#: What tells rows apart: the id, nulls last, and a hash of the text. Rows that agree in it are repeated rows.
+KEY = ("no_id", "key_id", "text_hash")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(KEY, b): b is the text as UTF-8; a null text is the empty one."""
     tune(docs.sparkSession)
-    odd = [0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64) for j in range(1, WIDE)]
+    return docs.select(*key_of(docs), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
+
+
+def key_of(docs: DataFrame) -> list[Column]:
+    doc_id = F.col("doc_id").cast("long")
+    return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("key_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
+
+
+def _mapped(docs: DataFrame, columns: str, values: Callable[[list[bytes]], list[pa.Array]]) -> DataFrame:
+    """KEY and the columns that values() gives for a batch of texts, one row per row of docs."""
+    names = [*KEY, *[c.split()[0] for c in columns.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, sig = [], []
-            for t in b.column("b").to_pylist():
-                h = np.unique(shingle_hashes(t, words))
-                sig.append(xxhash.xxh64_intdigest(h.astype("<u8").tobytes(), SEED))
-                row = [majority(h)]
-                for o in odd:
-                    x = (h ^ (h >> np.uint64(31))) * np.uint64(o)
-                    row.append(majority(x ^ (x >> np.uint64(29))))
-                out.append(row)
-            fps = np.array(out, np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(sig, np.uint64).view(np.int64)), *[pa.array(fps[:, j].copy()) for j in range(WIDE)]], names=["doc_id", "sig", *[f"w{j}" for j in range(WIDE)]])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in KEY], *values(b.column("b").to_pylist())], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).mapInArrow(run, "doc_id bigint, sig bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)))
+    return keyed(docs).mapInArrow(run, f"no_id boolean, key_id bigint, text_hash bigint, {columns}")
 
 
-def alike(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) of doc_ids whose texts' shingle sets have that Jaccard similarity or more."""
+def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(KEY, sig, w0, w1, ...): long fingerprints of shingle sets; sig is the set's own hash, and the words after
+    the first are of remixed shingle hashes."""
+    odd = [0x9E3779B97F4A7C15 * (2 * j + 1) % (1 << 64) for j in range(1, WIDE)]
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column("b").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s"])
+    def values(texts: list[bytes]) -> list[pa.Array]:
+        out, sig = [], []
+        for t in texts:
+            h = np.unique(shingle_hashes(t, words))
+            sig.append(xxhash.xxh64_intdigest(h.astype("<u8").tobytes(), SEED))
+            row = [majority(h)]
+            for o in odd:
+                x = (h ^ (h >> np.uint64(31))) * np.uint64(o)
+                row.append(majority(x ^ (x >> np.uint64(29))))
+            out.append(row)
+        fps = np.array(out, np.uint64).reshape(-1, WIDE).view(np.int64)
+        return [pa.array(np.array(sig, np.uint64).view(np.int64)), *[pa.array(fps[:, j].copy()) for j in range(WIDE)]]
+
+    return _mapped(docs, "sig bigint, " + ", ".join(f"w{j} bigint" for j in range(WIDE)), values)
+
+
+def of_heads(found: DataFrame, heads: DataFrame) -> DataFrame:
+    """What was found of the rows that stand for heads (id, KEY), by id; rows that are repeated count once."""
+    return found.join(heads.select("id", *KEY), list(KEY)).drop(*KEY).dropDuplicates(["id"])
+
+
+def alike(docs: DataFrame, heads: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of heads whose texts' shingle sets have that Jaccard similarity or more."""
 
-    asked = bounded_broadcast(cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()), ASKED)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("b")).join(asked, "doc_id", "left_semi")
-    shingled = cut(texts.mapInArrow(sets, "doc_id bigint, s array<bigint>").dropDuplicates(["doc_id"]))
-    left, right = shingled.select(F.col("doc_id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("doc_id").alias("v"), F.col("s").alias("b"))
+    def sets(texts: list[bytes]) -> list[pa.Array]:
+        return [pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts], pa.list_(pa.int64()))]
+
+    ids = cut(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(heads.select("id", *KEY), "id"))
+    asked = bounded_broadcast(ids.select(*KEY), ASKED)
+    texts = docs.select("doc_id", "text", *key_of(docs)).join(asked, list(KEY), "left_semi").select("doc_id", "text")
+    shingled = cut(of_heads(_mapped(texts, "s array<bigint>", sets), ids))
+    left, right = shingled.select(F.col("id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("id").alias("v"), F.col("s").alias("b"))
     common = F.size(F.array_intersect("a", "b"))
     enough = common >= similarity * (F.size("a") + F.size("b") - common)
     both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
@@ -311,9 +341,10 @@ def common_shingles(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np
             found = [np.unique(shingle_hashes(t, words)) for t in b.column("b").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], names=["h"])
 
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // SAMPLED))) == 0).select(F.col("text").cast("binary").alias("b"))
-    rows = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("c")).where("c >= 3").orderBy(F.desc("c"), "h").limit(COMMON).collect()
-    h, c = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.c for r in rows], np.int64)
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n // SAMPLED))) == 0).select(F.col("text").cast("binary").alias("b"))
+    rows = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("c")).where("c >= 2").orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
+    h, c = (rows.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in ("h", "c"))
+    h = h.astype(np.int64).view(np.uint64)
     order = np.argsort(h)
     return h[order], c[order]
 
@@ -330,53 +361,111 @@ def prefix(h: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: flo
     return h[np.lexsort((h, count))[:n]]
 
 
-def candidates(docs: DataFrame, labels: DataFrame, n: int, words: int, similarity: float) -> DataFrame:
-    """(u, v): ids of unlike labels whose texts may have that similarity; none that have it is left out.
+def parities(h: np.ndarray) -> np.ndarray:
+    """64 * PARITY bits: whether each class of hashes, by their first bits, has an odd number of the set's.
 
-    labels (id, root), n of them. Pairs are made where prefixes meet, only at shingles that distinct labels
-    share, and never inside a label: a group of near copies that is known already makes none.
+    A hash that only one of two sets holds flips one bit, so the sets differ in as many hashes as bits at least.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(common_shingles(docs, n, words))
+    classes = (h >> np.uint64(64 - (64 * PARITY).bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=64 * PARITY) & 1, bitorder="little").view("<i8")
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [np.unique(shingle_hashes(t, words)) for t in b.column("b").to_pylist()]
-            keys = [prefix(h, shared.value, similarity).view(np.int64) for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(h) for h in sets], pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "keys"])
-
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("b"))
-    known = cut(texts.mapInArrow(each, "id bigint, n int, keys array<bigint>").join(labels, "id"))
-    rows = known.select("id", "root", "n", F.posexplode("keys").alias("pos", "key"))
-    mixed = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key"))
-    few = mixed.limit(ASKED + 1).count() <= ASKED
-    open_ = cut(rows.join(F.broadcast(mixed), "key") if few else salted_join(rows, mixed, "key"))
-    # At each shingle, what isn't of its largest label meets all the others.
-    most = open_.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("hub"))
-    rest = salted_join(open_, most, "key").where("root <> hub").select("key", "hub", *[F.col(c).alias(f"_{c}") for c in ("id", "root", "n", "pos")])
-    both = salted_join(open_, rest, "key").where("root <> _root and (root = hub or id < _id)")
-    least, most_ = F.least("n", "_n"), F.greatest("n", "_n")
+
+def prefixes(docs: DataFrame, heads: DataFrame, n: int, words: int, similarity: float) -> DataFrame:
+    """(id, n, p0, p1, ..., keys): the size, the parities and the prefix of each head's shingle set. n: how many heads there are."""
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, n, words))
+
+    def values(texts: list[bytes]) -> list[pa.Array]:
+        sets = [np.unique(shingle_hashes(t, words)) for t in texts]
+        keys = [prefix(h, shared.value, similarity).view(np.int64) for h in sets]
+        odd = np.array([parities(h) for h in sets], np.int64).reshape(-1, PARITY)
+        return [pa.array([len(h) for h in sets], pa.int32()), *[pa.array(odd[:, j].copy()) for j in range(PARITY)], pa.array(keys, pa.list_(pa.int64()))]
+
+    return of_heads(_mapped(docs, "n int, " + ", ".join(f"p{j} bigint" for j in range(PARITY)) + ", keys array<bigint>", values), heads)
+
+
+def shared_places(known: DataFrame) -> DataFrame:
+    """(key, id, n, pos): the places of prefixes at shingles that more than one head has in its own. Most shingles have
+    one place only, so this is the one step that deals all of them."""
+    rows = known.select("id", "n", F.posexplode("keys").alias("pos", "key"))
+    counts = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    side = counts.select("key")
+    few = side.limit(ASKED + 1).count() <= ASKED
+    return cut(rows.join(F.broadcast(side), "key") if few else salted_join(rows, side, "key", counts=counts))
+
+
+def meetings(places: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, root, n, pos, p0, ...): the places at shingles that heads of unlike labels (id, root) share."""
+    rows = places.join(labels, "id")
+    mixed = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n")).where("a < z").select("key", "n"))
+    side = mixed.select("key")
+    few = side.limit(ASKED + 1).count() <= ASKED
+    met = rows.join(F.broadcast(side), "key") if few else salted_join(rows, side, "key", counts=mixed)
+    return cut(met.join(known.select("id", *[f"p{j}" for j in range(PARITY)]), "id"))
+
+
+def _may_be_alike(both: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): pairs of heads that meet at a shingle (n, pos and _n, _pos) and whose sizes and places leave the similarity possible."""
+    least, most = F.least("n", "_n"), F.greatest("n", "_n")
     # Of the first shingle that two prefixes share, what follows in the shorter rest is all they can share.
     left = F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos"))
-    near = both.where((least >= similarity * most_ - 1e-6) & (left >= similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6))
+    apart_ = sum((F.bit_count(F.col(f"p{j}").bitwiseXOR(F.col(f"_p{j}"))) for j in range(PARITY)), F.lit(0))
+    both_sizes = F.col("n") + F.col("_n")
+    near = both.where((least >= similarity * most - 1e-6) & (left >= similarity / (1 + similarity) * both_sizes - 1e-6) & (apart_ <= (1 - similarity) / (1 + similarity) * both_sizes + 1e-6))
     return near.select(F.least("id", "_id").alias("u"), F.greatest("id", "_id").alias("v")).where("u < v").distinct()
 
 
-def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(heads, links): the smallest doc_id of each shingle set (id), and pairs (u, v) of them that
-    connect texts whose shingle sets have that Jaccard similarity or more.
+_OTHER = ("id", "root", "n", "pos", *[f"p{j}" for j in range(PARITY)])
+
+
+def hubs(met: DataFrame) -> DataFrame:
+    """met with hub: the label that most heads have at each shingle."""
+    most = met.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root"))["root"].alias("hub"))
+    return salted_join(met, most, "key")
 
-    Texts that are but 0.8 alike differ in a seventh of the bits, too many for masks that leave none out. So
-    the masks are random patterns of a long fingerprint: like texts agree in one of them but for a chance of
-    MISSED, and each bucket is searched by the same index with a wider limit. What it finds is then compared
-    by whole shingle sets; nothing is decided by fingerprints alone.
-    Sets whose hash and fingerprint are equal are copies.
 
-    A bucket yields stars, and a star's edge may fail though two of its members are alike. So this only
-    finds most groups cheaply; candidates() then finds each like pair that is still apart, without chance.
+def stars(met: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): at each shingle each head outside the largest label with one head of that label and one of the others.
+
+    The two are drawn by a hash of head and shingle, so a group of near copies gets other centres at other
+    shingles, and nearly all of it is joined by pairs that grow with its size alone.
+    """
+    places = cut(hubs(met))
+    drawn = places.groupBy("key", (F.col("root") == F.col("hub")).alias("inside")).agg(F.min_by(F.struct(*_OTHER), F.xxhash64("id", "key")).alias("c"))
+    centre = drawn.select("key", *[F.col(f"c.{x}").alias(f"_{x}") for x in _OTHER])
+    return _may_be_alike(salted_join(places.where("root <> hub").drop("hub"), centre, "key").where("root <> _root"), similarity)
+
+
+def candidates(met: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): heads of unlike labels whose texts may have that similarity; none that have it is left out.
+
+    Pairs are made where prefixes meet, and never inside a label: a group of near copies that is known already
+    makes none.
+    """
+    # At each shingle, what isn't of its largest label meets all the others.
+    rest = hubs(met).where("root <> hub").select("key", "hub", *[F.col(x).alias(f"_{x}") for x in _OTHER])
+    both = salted_join(met, rest, "key").where("root <> _root and (root = hub or id < _id)")
+    return _may_be_alike(both, similarity)
+
+
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, heads, links): each row's KEY and shingle set (sig, w0, ...); a head (id, KEY) for each distinct set,
+    which is the row with the smallest KEY that has it; and pairs (u, v) of heads that connect texts whose
+    shingle sets have that Jaccard similarity or more.
+
+    Texts that are but 0.8 alike differ in a seventh of the bits, too many for masks that leave none out. So
+    the masks are random patterns of a long fingerprint: like texts mostly agree in one of them, and each bucket
+    is searched by the same index with a wider limit. What it finds is then compared by whole shingle sets;
+    nothing is decided by fingerprints alone. Sets whose hash and fingerprint are equal are copies.
+
+    Patterns miss some pairs, a bucket yields stars, and a star's edge may fail though two of its members are
+    alike. So this only finds most groups cheaply. Prefixes of the shingle sets find the rest: stars() joins what is
+    left of large groups by few pairs, and candidates() then finds each like pair that is still apart, without
+    chance.
     """
     columns = [f"w{j}" for j in range(WIDE)]
-    heads = cut(wide_fingerprints(docs.where("doc_id is not null"), words).groupBy("sig", *columns).agg(F.min("doc_id").alias("id")))
+    rows = cut(wide_fingerprints(docs, words))
+    first = rows.groupBy("sig", *columns).agg(F.min(F.struct(*KEY)).alias("first"))
+    heads = cut(first.select(F.monotonically_increasing_id().alias("id"), "first.*", "sig", *columns))
     n = heads.count()
     tables, bits = tables_for(n, similarity)
     p = apart(similarity)
@@ -407,20 +496,35 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
     both = salted_join(salted_join(near, of("u"), "u"), of("v"), "v", near)
     pairs = cut(both.where(differing <= wide).select("u", "v"))
 
-    known = components(alike(docs, pairs, words, similarity))
-    labels = cut(heads.join(known, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
-    rest = cut(candidates(docs, labels, n, words, similarity))
-    found = alike(docs, rest, words, similarity)
-    return heads.select("id"), known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found)
+    found = alike(docs, heads, pairs, words, similarity)
+    sets = cut(prefixes(docs, heads, n, words, similarity))
+    places = shared_places(sets)
+    for pairs_of in (stars, candidates):
+        known = components(found)
+        labels = cut(heads.join(known, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
+        more = cut(pairs_of(meetings(places, sets, labels), similarity))
+        found = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(alike(docs, heads, more, words, similarity))
+    return rows, heads, found
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without near duplicates: of each component of similar() the row with the smallest doc_id stays, once.
+    """docs without near duplicates: of each component of similar() one row stays, that with the smallest doc_id.
 
-    doc_id is the key; rows with a null doc_id can't be named by one and stay. Null and empty texts are
-    copies of each other. An empty table gives no rows.
+    Rows are told apart by id and text, so rows that share an id but not a text are judged as any others. A null
+    id is larger than any other; rows of one id go by a hash of their texts; of repeated rows one stays,
+    any one if they differ in other columns. Null and empty texts, and all without a word, are copies of each
+    other. Columns are as they were, whatever their names. An empty table gives no rows.
     """
-    heads, links_ = similar(docs, words, similarity)
-    first = heads.join(components(links_), F.col("id") == F.col("node"), "left_anti").select(F.col("id").alias("doc_id"))
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    names = docs.columns
+    rows, heads, links_ = similar(docs, words, similarity)
+    grouped = heads.select("id", F.struct(*KEY).alias("first")).join(components(links_), F.col("id") == F.col("node"), "left")
+    best = grouped.groupBy(F.coalesce("root", "id").alias("group")).agg(F.min("first").alias("first")).select("first.*")
+    again = cut(rows.groupBy(*KEY).agg(F.count("*").alias("n_rows")).where("n_rows > 1").select(*KEY))
+    marked = docs.select(F.struct(*names).alias("row"), *key_of(docs))
+    if not again.limit(1).count():
+        return marked.join(best, list(KEY), "left_semi").select("row.*")
+    # Repeated rows are told apart first, so that a row that is a third of all isn't dealt to one task.
+    repeated = bounded_broadcast(again, ASKED)
+    out = marked.join(repeated, list(KEY), "left_anti").join(best, list(KEY), "left_semi").select("row.*")
+    many = bounded_broadcast(cut(again.join(best, list(KEY), "left_semi")), ASKED)
+    return out.unionByName(marked.join(many, list(KEY), "left_semi").groupBy(*KEY).agg(F.first("row").alias("row")).select("row.*"))

@@ -2,12 +2,20 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from quire.llm import common
 from quire.llm.common import HOT, PARTS, salted_join
 from quire.llm.components import components
 
 
+@pytest.fixture(autouse=True)
+def salted(monkeypatch):
+    """Small tables are joined plainly; here they are to be salted too."""
+    monkeypatch.setattr(common, "FEW", -1)
+
+
 def test_equals_a_plain_join(spark):
     n = 3 * HOT
     rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"), (F.col("id") % 1000).alias("x"))
