@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: work for one task whatever their keys.
 HOT, PARTS, FEW = 1024, 32, 20_000
 
+#: Whether Spark deletes a query's shuffles when it ends; else they stay until the driver happens to collect garbage.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows of one Arrow batch. Texts may be long, so it is far below Spark's default of 10,000.
 BATCH_ROWS = 512
 
@@ -42,10 +48,40 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read from there: its lineage ends, and a lost executor costs nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in the block delete their shuffles when they end."""
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANED) if before is None else spark.conf.set(CLEANED, before)
+
+
+def cut(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """df written to the shared folder and read from there: its lineage ends, and a lost executor costs nothing.
+
+    checkpoint() would end the lineage too, but keep the planner's estimate of the size. A join multiplies its sides'
+    estimates, so in a loop over joins the estimate's digits double with each turn, until the driver's memory is full
+    of them. What is read from files has their size. The shuffles behind df are deleted once it is written.
+    """
+    spark = df.sparkSession
+    path = f"{folder or shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    with cleaned(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A cut() whose files are deleted at the end of the block. What outlives the block mustn't read them."""
+    folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield lambda df: cut(df, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(text: Column) -> Column:

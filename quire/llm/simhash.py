@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, cut, salted_join, tune
+from .common import bounded_broadcast, cleaned, cut, salted_join, scratch, tune
 from .components import components
 
 SHINGLE = 4
@@ -240,9 +240,9 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, words: int = SHINGLE, b
 #: Words of a long fingerprint, and the share of similar pairs that may escape all tables.
 WIDE, MISSED = 4, 0.01
 #: Ids of texts to be compared are broadcast if there are so many at most; more are joined by a shuffle.
-ASKED = 500_000
+ASKED = 100_000
 #: Words of parities.
-PARITY = 2
+PARITY = 8
 #: Documents whose shingles are counted, and the most frequent of these shingles that are kept.
 SAMPLED, COMMON = 10_000, 200_000
 
@@ -261,6 +261,8 @@ def tables_for(n: int, similarity: float) -> tuple[int, int]:
     return math.ceil(math.log(MISSED) / math.log(1 - (1 - apart(similarity)) ** bits)), bits
 
 
+#: cut(), or that of a scratch folder.
+Cut = Callable[[DataFrame], DataFrame]
 #: What tells rows apart: the id, nulls last, and a hash of the text. Rows that agree in it are repeated rows.
 KEY = ("no_id", "key_id", "text_hash")
 
@@ -319,15 +321,16 @@ def alike(docs: DataFrame, heads: DataFrame, pairs: DataFrame, words: int, simil
     def sets(texts: list[bytes]) -> list[pa.Array]:
         return [pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts], pa.list_(pa.int64()))]
 
-    ids = cut(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(heads.select("id", *KEY), "id"))
-    asked = bounded_broadcast(ids.select(*KEY), ASKED)
-    texts = docs.select("doc_id", "text", *key_of(docs)).join(asked, list(KEY), "left_semi").select("doc_id", "text")
-    shingled = cut(of_heads(_mapped(texts, "s array<bigint>", sets), ids))
-    left, right = shingled.select(F.col("id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("id").alias("v"), F.col("s").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    enough = common >= similarity * (F.size("a") + F.size("b") - common)
-    both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
-    return both.where(enough).select("u", "v")
+    with scratch(docs.sparkSession) as brief:
+        ids = brief(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(heads.select("id", *KEY), "id"))
+        asked = bounded_broadcast(ids.select(*KEY), ASKED)
+        texts = docs.select("doc_id", "text", *key_of(docs)).join(asked, list(KEY), "left_semi").select("doc_id", "text")
+        shingled = brief(of_heads(_mapped(texts, "s array<bigint>", sets), ids))
+        left, right = shingled.select(F.col("id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("id").alias("v"), F.col("s").alias("b"))
+        common = F.size(F.array_intersect("a", "b"))
+        enough = common >= similarity * (F.size("a") + F.size("b") - common)
+        both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
+        return cut(both.where(enough).select("u", "v"))
 
 
 def common_shingles(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +345,8 @@ def common_shingles(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))], names=["h"])
 
     some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, n // SAMPLED))) == 0).select(F.col("text").cast("binary").alias("b"))
-    rows = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("c")).where("c >= 2").orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
+    with cleaned(docs.sparkSession):
+        rows = some.mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("c")).where("c >= 2").orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
     h, c = (rows.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in ("h", "c"))
     h = h.astype(np.int64).view(np.uint64)
     order = np.argsort(h)
@@ -383,7 +387,7 @@ def prefixes(docs: DataFrame, heads: DataFrame, n: int, words: int, similarity:
     return of_heads(_mapped(docs, "n int, " + ", ".join(f"p{j} bigint" for j in range(PARITY)) + ", keys array<bigint>", values), heads)
 
 
-def shared_places(known: DataFrame) -> DataFrame:
+def shared_places(known: DataFrame, cut: Cut = cut) -> DataFrame:
     """(key, id, n, pos): the places of prefixes at shingles that more than one head has in its own. Most shingles have
     one place only, so this is the one step that deals all of them."""
     rows = known.select("id", "n", F.posexplode("keys").alias("pos", "key"))
@@ -393,7 +397,7 @@ def shared_places(known: DataFrame) -> DataFrame:
     return cut(rows.join(F.broadcast(side), "key") if few else salted_join(rows, side, "key", counts=counts))
 
 
-def meetings(places: DataFrame, known: DataFrame, labels: DataFrame) -> DataFrame:
+def meetings(places: DataFrame, known: DataFrame, labels: DataFrame, cut: Cut = cut) -> DataFrame:
     """(key, id, root, n, pos, p0, ...): the places at shingles that heads of unlike labels (id, root) share."""
     rows = places.join(labels, "id")
     mixed = cut(rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n")).where("a < z").select("key", "n"))
@@ -423,7 +427,7 @@ def hubs(met: DataFrame) -> DataFrame:
     return salted_join(met, most, "key")
 
 
-def stars(met: DataFrame, similarity: float) -> DataFrame:
+def stars(met: DataFrame, similarity: float, cut: Cut = cut) -> DataFrame:
     """(u, v): at each shingle each head outside the largest label with one head of that label and one of the others.
 
     The two are drawn by a hash of head and shingle, so a group of near copies gets other centres at other
@@ -435,7 +439,7 @@ def stars(met: DataFrame, similarity: float) -> DataFrame:
     return _may_be_alike(salted_join(places.where("root <> hub").drop("hub"), centre, "key").where("root <> _root"), similarity)
 
 
-def candidates(met: DataFrame, similarity: float) -> DataFrame:
+def candidates(met: DataFrame, similarity: float, cut: Cut = cut) -> DataFrame:
     """(u, v): heads of unlike labels whose texts may have that similarity; none that have it is left out.
 
     Pairs are made where prefixes meet, and never inside a label: a group of near copies that is known already
@@ -487,23 +491,25 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[D
         for rows, a, b in _stars(batches, ("mask", "bits", "fp", "id"), limit):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[3][a], rows[3][b])), pa.array(np.maximum(rows[3][a], rows[3][b]))], names=["u", "v"])
 
-    dealt = heads.mapInArrow(deal, "mask int, bits bigint, fp bigint, id bigint").repartition("mask", "bits").sortWithinPartitions("mask", "bits")
-    near = cut(dealt.mapInArrow(search, "u bigint, v bigint").distinct())
     # The whole fingerprints of a pair are known to differ in so many bits at most, but for a chance of 1 in 4000.
     wide = math.ceil(64 * WIDE * p + 3.5 * math.sqrt(64 * WIDE * p * (1 - p)))
     of = lambda side: heads.select(F.col("id").alias(side), F.array(*columns).alias(f"{side}_fp"))
     differing = F.aggregate(F.zip_with("u_fp", "v_fp", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, x: acc + x)
-    both = salted_join(salted_join(near, of("u"), "u"), of("v"), "v", near)
-    pairs = cut(both.where(differing <= wide).select("u", "v"))
-
-    found = alike(docs, heads, pairs, words, similarity)
-    sets = cut(prefixes(docs, heads, n, words, similarity))
-    places = shared_places(sets)
-    for pairs_of in (stars, candidates):
-        known = components(found)
-        labels = cut(heads.join(known, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
-        more = cut(pairs_of(meetings(places, sets, labels), similarity))
-        found = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(alike(docs, heads, more, words, similarity))
+    # Files that later steps don't read go as soon as they can: all of them together are several times the input.
+    with scratch(docs.sparkSession) as brief:
+        dealt = heads.mapInArrow(deal, "mask int, bits bigint, fp bigint, id bigint").repartition("mask", "bits").sortWithinPartitions("mask", "bits")
+        near = brief(dealt.mapInArrow(search, "u bigint, v bigint").distinct())
+        both = salted_join(salted_join(near, of("u"), "u"), of("v"), "v", near)
+        found = alike(docs, heads, brief(both.where(differing <= wide).select("u", "v")), words, similarity)
+    with scratch(docs.sparkSession) as brief:
+        sets = brief(prefixes(docs, heads, n, words, similarity))
+        places = shared_places(sets, brief)
+        for pairs_of in (stars, candidates):
+            known = components(found)
+            with scratch(docs.sparkSession) as briefer:
+                labels = briefer(heads.join(known, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root")))
+                more = cut(pairs_of(meetings(places, sets, labels, briefer), similarity, briefer))
+            found = known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(alike(docs, heads, more, words, similarity))
     return rows, heads, found
 
 
