@@ -315,22 +315,58 @@ def of_heads(found: DataFrame, heads: DataFrame) -> DataFrame:
     return found.join(heads.select("id", *KEY), list(KEY)).drop(*KEY).dropDuplicates(["id"])
 
 
+def sketch(h: np.ndarray) -> bytes:
+    """Parities as of parities(), of twice as many classes as there are hashes or more: a power of two, 64 at least."""
+    n = max(6, (2 * len(h)).bit_length())
+    return np.packbits(np.bincount((h >> np.uint64(64 - n)).astype(np.int64), minlength=1 << n) & 1, bitorder="little").tobytes()
+
+
+def differ(a: bytes, b: bytes) -> int:
+    """In so many hashes at least the sets of two sketches differ; the longer one is folded to the classes of the other."""
+    x, y = (np.unpackbits(np.frombuffer(s, np.uint8), bitorder="little") for s in (a, b))
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[::2] ^ x[1::2]
+    return int(np.count_nonzero(x != y))
+
+
+def of_pairs(docs: DataFrame, heads: DataFrame, pairs: DataFrame, columns: str, values: Callable[[list[bytes]], list[pa.Array]], cut: Cut) -> DataFrame:
+    """pairs (u, v) with the columns that values() gives for u's text, and with v's, whose names begin with _."""
+    ids = cut(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(heads.select("id", *KEY), "id"))
+    asked = bounded_broadcast(ids.select(*KEY), ASKED)
+    texts = docs.select("doc_id", "text", *key_of(docs)).join(asked, list(KEY), "left_semi").select("doc_id", "text")
+    found = cut(of_heads(_mapped(texts, columns, values), ids))
+    right = found.select(*[F.col(c).alias("v" if c == "id" else f"_{c}") for c in found.columns])
+    return salted_join(salted_join(pairs, found.withColumnRenamed("id", "u"), "u"), right, "v", pairs)
+
+
 def alike(docs: DataFrame, heads: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) of heads whose texts' shingle sets have that Jaccard similarity or more."""
+    """The pairs (u, v) of heads whose texts' shingle sets have that Jaccard similarity or more.
+
+    Whole sets are larger than the texts, so pairs are first judged by sketches, a thirtieth of the size, which bound
+    the difference from below. What they leave is nearly all alike.
+    """
+
+    def sketches(texts: list[bytes]) -> list[pa.Array]:
+        sets_ = [np.unique(shingle_hashes(t, words)) for t in texts]
+        return [pa.array([len(h) for h in sets_], pa.int32()), pa.array([sketch(h) for h in sets_], pa.binary())]
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = b.column("n").to_numpy(zero_copy_only=False).astype(np.int64) + b.column("_n").to_numpy(zero_copy_only=False)
+            least = np.array([differ(x, y) for x, y in zip(b.column("odd").to_pylist(), b.column("_odd").to_pylist(), strict=True)], np.int64)
+            stay = pa.array(least <= (1 - similarity) / (1 + similarity) * sizes + 1e-6)
+            yield b.select(["u", "v"]).filter(stay)
 
     def sets(texts: list[bytes]) -> list[pa.Array]:
         return [pa.array([np.unique(shingle_hashes(t, words)).view(np.int64) for t in texts], pa.list_(pa.int64()))]
 
     with scratch(docs.sparkSession) as brief:
-        ids = brief(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(heads.select("id", *KEY), "id"))
-        asked = bounded_broadcast(ids.select(*KEY), ASKED)
-        texts = docs.select("doc_id", "text", *key_of(docs)).join(asked, list(KEY), "left_semi").select("doc_id", "text")
-        shingled = brief(of_heads(_mapped(texts, "s array<bigint>", sets), ids))
-        left, right = shingled.select(F.col("id").alias("u"), F.col("s").alias("a")), shingled.select(F.col("id").alias("v"), F.col("s").alias("b"))
-        common = F.size(F.array_intersect("a", "b"))
-        enough = common >= similarity * (F.size("a") + F.size("b") - common)
-        both = salted_join(salted_join(pairs, left, "u"), right, "v", pairs)
-        return cut(both.where(enough).select("u", "v"))
+        sketched = of_pairs(docs, heads, pairs, "n int, odd binary", sketches, brief)
+        near = brief(sketched.mapInArrow(possible, "u bigint, v bigint"))
+        both = of_pairs(docs, heads, near, "s array<bigint>", sets, brief)
+        common = F.size(F.array_intersect("s", "_s"))
+        return cut(both.where(common >= similarity * (F.size("s") + F.size("_s") - common)).select("u", "v"))
 
 
 def common_shingles(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np.ndarray]:
