@@ -1,14 +1,16 @@
-"""Main text of web pages: the page's own structure, and a suffix array over each host's pages.
-
-A page is read into blocks. Its article, or else its main part, is the text, without what its tags,
-roles and class names call a menu, notice, advert, form, comment list and so on. A page that names no
-such part is judged against its host: the token streams of the host's pages form one suffix array, in
-which a long substring that a share of the host's distinct pages holds is boilerplate; blocks that such
-substrings cover are removed, and the unique runs stay.
-
-A host may hold a third of all pages, so its array isn't built in one task: suffixes are keyed by host
-and their first ``run`` tokens and dealt by that key. Suffixes that share so long a prefix are
-neighbours in the array, so a key's distinct pages are those that share it. Nothing is sorted.
+"""Main text of web pages: a suffix array over each host's pages, checked against the page's own markup.
+
+A page is read into blocks, and the tokens of all its blocks are its stream. The streams of a host's pages
+form suffix arrays, in which a substring of ``run`` tokens or more that a share of the host's distinct pages
+holds is boilerplate; blocks that such substrings cover are repeated, and the unique ones stay. The check
+that follows takes out what a page's tags, roles and class names call a menu, notice, advert, form, comment
+list and so on, and on a page that names its article or main part keeps what is inside: a line that many
+articles of a host share is theirs. Only what the markup of most pages that hold it calls something else
+goes from there too.
+
+A host may hold a third of all pages, so its pages are dealt into groups of about GROUP, each with an array of
+its own. A substring that a share of all pages holds is held by that share of some group's, so the groups' arrays
+find all candidates; a second reading counts each exactly over the whole host.
 """
 
 from __future__ import annotations
@@ -24,15 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, cut, salted_join, tune
+from .common import cut, salted_join, tune
 from .urls import host_of
 
 #: Tokens of the shortest substring that counts as boilerplate.
 RUN = 8
 #: A substring is boilerplate if this share of its host's distinct pages has it, and so many pages at least.
 SHARE, LEAST = 0.25, 3
-#: Hosts whose page counts are broadcast; more are joined by a shuffle.
-HOSTS = 500_000
+#: Distinct pages of one suffix array on average, where a host has more.
+GROUP = 128
+#: Hosts, and keys of all hosts, that are broadcast at most; more are joined by a shuffle.
+HOSTS, KEYS = 500_000, 1_000_000
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -167,68 +171,190 @@ def read_page(html: str) -> Page:
     return page
 
 
-def _stream(page: Page) -> tuple[list[str], list[bool]]:
-    """The tokens of what isn't plainly the article, and whether each is in doubt."""
-    tokens, doubt, named = [], [], page.named()
-    for b in page.blocks:
-        if not named or b.dropped or b.region is None:
-            t = b.text.split()
-            tokens += t
-            doubt += [not named and not b.dropped] * len(t)
-    return tokens, doubt
+def stream(page: Page) -> np.ndarray:
+    """A hash of each token of the page's blocks."""
+    return np.array([xxhash.xxh32_intdigest(t) for b in page.blocks for t in b.text.split()], np.uint32)
+
+
+def own_tokens(page: Page) -> np.ndarray:
+    """Whether the page's markup puts each token of the stream in its article or main part."""
+    kept = {id(b) for b in page.kept()} if page.named() else set()
+    return np.array([id(b) in kept for b in page.blocks for _ in b.text.split()], bool)
+
+
+def windows(tokens: np.ndarray, run: int = RUN) -> np.ndarray:
+    """A key of each run of so many tokens."""
+    n = max(0, len(tokens) - run + 1)
+    key = np.zeros(n, np.uint64)
+    for j in range(run):
+        key = (key ^ tokens[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
 
+def all_of(flags: np.ndarray, run: int) -> np.ndarray:
+    """Whether all flags of each run are set."""
+    sums = np.concatenate(([0], np.cumsum(flags)))
+    return sums[run:] - sums[:-run] == run
 
-def suffixes(pages: DataFrame, run: int = RUN) -> DataFrame:
-    """(host, page, pos, key, doubt): the suffixes of each page's stream, keyed by their first tokens.
 
-    pages: host, page (a key of the content), html.
+def suffix_array(x: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(order, long): the suffixes of x in order, and whether each but the first shares run items or more with the one before.
+
+    Prefixes are doubled: suffixes that are equal so far are ordered by the rank of what follows, until none are.
     """
+    n = len(x)
+    order = np.argsort(x, kind="stable")
+    new = np.concatenate(([True], x[order][1:] != x[order][:-1]))
+    rank = np.empty(n, np.int64)
+    levels, h = [], 1
+    while True:
+        start = np.flatnonzero(new)
+        rank[order] = np.repeat(start, np.diff(np.append(start, n)))
+        if h <= run:
+            levels.append((h, rank.copy()))
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(tied):
+            break
+        sub = order[tied]
+        after = sub + h
+        key = rank[sub] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(key, kind="stable")
+        order[tied] = sub[by]
+        new[tied] = np.concatenate(([True], key[by][1:] != key[by][:-1]))
+        h *= 2
+    # The rank by h items is equal where h items are; run is a sum of such h.
+    a, b, long, left = order[:-1], order[1:], np.ones(max(0, n - 1), bool), run
+    for h, r in levels[::-1]:
+        while left >= h:
+            inside = (a < n) & (b < n)
+            long &= inside & (r[np.minimum(a, n - 1)] == r[np.minimum(b, n - 1)])
+            a, b, left = a + h, b + h, left - h
+    return order, long
+
+
+def shared_runs(streams: list[np.ndarray], run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, pages): the runs of so many tokens that the streams hold, and how many of the streams hold each."""
+    lengths = np.array([len(t) for t in streams], np.int64)
+    if not lengths.sum():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.cumsum(lengths + 1) - 1
+    x = np.full(int(ends[-1]) + 1, -1, np.int64)
+    x[np.setdiff1d(np.arange(len(x)), ends)] = np.concatenate(streams)
+    x[ends] = -1 - np.arange(len(ends))  # no two streams end alike, so no substring goes over an end
+    page = np.repeat(np.arange(len(streams)), lengths + 1)
+    order, long = suffix_array(x, run)
+    interval = np.cumsum(np.concatenate(([0], ~long)))
+    whole = ends[page[order]] - order >= run
+    order, interval = order[whole], interval[whole]
+    if not len(order):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = np.unique(interval * len(streams) + page[order]) // len(streams)
+    first = np.unique(interval, return_index=True)[1]
+    return windows(x.view(np.uint64), run)[order[first]], np.unique(held, return_counts=True)[1]
+
+
+def joined(rows: DataFrame, side: DataFrame, few: bool, counted: DataFrame | None = None) -> DataFrame:
+    return rows.join(F.broadcast(side), "host") if few else salted_join(rows, side, "host", counted)
+
+
+def streams_of(pages: DataFrame) -> DataFrame:
+    """(host, page, tokens): the streams of pages (host, page, html). A task gives each of its distinct pages once."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            host, page, pos, key, flag = [], [], [], [], []
+            host, page, tokens = [], [], []
             for h, p, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                tokens, doubt = _stream(read_page(html))
-                n = max(0, len(tokens) - run + 1)
-                host += [h] * n
-                page += [p] * n
-                pos += range(n)
-                key += [xxhash.xxh64_intdigest(" ".join(tokens[i : i + run])) for i in range(n)]
-                flag += [any(doubt[i : i + run]) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(pos, pa.int32()), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(flag, pa.bool_())], names=["host", "page", "pos", "key", "doubt"])
-
-    return pages.select("host", "page", "html").mapInArrow(each, "host string, page bigint, pos int, key bigint, doubt boolean")
-
-
-def repeats(pages: DataFrame, run: int = RUN) -> DataFrame:
-    """(host, page, starts): where substrings start that SHARE of the host's distinct pages hold, in pages that are in doubt."""
-    rows = cut(suffixes(pages, run))
-    hosts = cut(pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of")))
-    held = rows.groupBy("host", "key", "page").agg(F.max("doubt").alias("doubt")).groupBy("host", "key").agg(F.count("*").alias("n"), F.max("doubt").alias("d")).where(f"n >= {LEAST} and d")
-    few = hosts.limit(HOSTS + 1).count() <= HOSTS
-    counted = held.join(F.broadcast(hosts), "host") if few else salted_join(held, hosts, "host")
-    both = F.struct("host", "key").alias("both")
-    shared = cut(counted.where(F.col("n") >= SHARE * F.col("of")).select(both))
-    # A menu's windows have a row for each page of their host, and a host may be a third of all pages.
-    return salted_join(rows.where("doubt").select(both, "page", "pos"), shared, "both").groupBy("both.host", "page").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
+                if (mark := xxhash.xxh64_intdigest(h, p % (1 << 64))) not in seen:
+                    seen.add(mark)
+                    host.append(h)
+                    page.append(p)
+                    tokens.append(stream(read_page(html)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(tokens, pa.binary())], names=["host", "page", "tokens"])
+
+    return pages.select("host", "page", "html").mapInArrow(each, "host string, page bigint, tokens binary")
+
+
+def candidates(pages: DataFrame, hosts: DataFrame, few: bool, run: int = RUN) -> DataFrame:
+    """(host, keys): of runs that SHARE of a group's pages hold; hosts: (host, of), of distinct pages."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(held: dict[int, bytes]) -> np.ndarray:
+            key, n = shared_runs([np.frombuffer(t, np.uint32) for t in held.values()], run)
+            return key[n >= max(SHARE * len(held), LEAST if len(held) == of else 1)]
+
+        def batch(host: str, key: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([host] * len(key), pa.string()), pa.array(key)], names=["host", "key"])
+
+        at, of, held = None, 0, {}
+        for b in batches:
+            for h, part, n, p, t in zip(*(b.column(c).to_pylist() for c in ("host", "part", "of", "page", "tokens")), strict=True):
+                if (h, part) != at:
+                    if held:
+                        yield batch(at[0], found(held))
+                    at, of, held = (h, part), n, {}
+                held[p] = t
+        if held:
+            yield batch(at[0], found(held))
+
+    # Hosts of fewer pages than LEAST have no boilerplate.
+    dealt = joined(streams_of(pages), hosts.where(F.col("of") >= LEAST), few, pages.select("host"))
+    dealt = dealt.withColumn("part", F.expr(f"pmod(page, cast(ceil(of / {GROUP}) as bigint))"))
+    grouped = dealt.repartition("host", "part").sortWithinPartitions("host", "part").mapInArrow(each, "host string, key bigint")
+    return cut(grouped.groupBy("host").agg(F.array_sort(F.collect_set("key")).alias("keys")))
+
+
+def _few(keys: DataFrame) -> bool:
+    return (keys.agg(F.sum(F.size("keys")), F.count("*")).first()[0] or 0) <= KEYS
 
 
-def main_text(html: str, starts: list[int] | None = None, run: int = RUN) -> str:
-    """starts: the shared substrings of a page in doubt. If they cover all of it, all of it stays."""
+def repeats(pages: DataFrame, hosts: DataFrame, few: bool, run: int = RUN) -> DataFrame:
+    """(host, keys, stray): the runs that SHARE of the host's distinct pages hold, LEAST at least; and those of them that
+    LEAST pages hold inside their articles, but most of the pages that hold them elsewhere."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            host, key, page, inside = [], [], [], []
+            for h, p, html, asked in zip(*(b.column(c).to_pylist() for c in ("host", "page", "html", "keys")), strict=True):
+                read = read_page(html)
+                mine = windows(stream(read), run)
+                hit = np.isin(mine, np.array(asked, np.int64))
+                own = all_of(own_tokens(read), run)[hit] if hit.any() else hit[:0]
+                for k in (found := np.unique(mine[hit])).tolist():
+                    key.append(k)
+                host += [h] * len(found)
+                page += [p] * len(found)
+                inside += np.isin(found, mine[hit][own]).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(page, pa.int64()), pa.array(inside, pa.bool_())], names=["host", "key", "page", "inside"])
+
+    asked = candidates(pages, hosts, few, run)
+    found = joined(pages.select("host", "page", "html"), asked, _few(asked), pages.select("host")).mapInArrow(each, "host string, key bigint, page bigint, inside boolean")
+    held = found.groupBy("host", "key", "page").agg(F.max("inside").alias("inside")).groupBy("host", "key").agg(F.count("*").alias("n"), F.count_if("inside").alias("own"))
+    shared = joined(cut(held), hosts, few).where((F.col("n") >= SHARE * F.col("of")) & (F.col("n") >= LEAST))
+    stray = (F.col("own") >= LEAST) & (2 * F.col("own") < F.col("n"))
+    return cut(shared.groupBy("host").agg(F.array_sort(F.collect_set("key")).alias("keys"), F.array_sort(F.collect_set(F.when(stray, F.col("key")))).alias("stray")))
+
+
+def covered(page: Page, keys: list[int], run: int = RUN) -> list[bool]:
+    """Whether the runs with these keys cover the whole of each block."""
+    hit = np.isin(windows(stream(page), run), np.array(keys, np.int64))
+    ends = np.cumsum([len(b.text.split()) for b in page.blocks])
+    over = np.zeros((int(ends[-1]) if len(ends) else 0) + run + 1, np.int64)
+    over[np.flatnonzero(hit)] += 1
+    over[np.flatnonzero(hit) + run] -= 1
+    bare = np.concatenate(([0], np.cumsum(np.cumsum(over) <= 0)))
+    return [bool(bare[e] == bare[s]) for s, e in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
+def main_text(html: str, keys: list[int] | None = None, stray: list[int] | None = None, run: int = RUN) -> str:
+    """keys, stray: of the page's host, as of repeats(). What would be left empty by them stays."""
     page = read_page(html)
-    if not starts or page.named():
-        return " ".join(b.text for b in page.kept())
-    covered = np.zeros(sum(len(b.text.split()) for b in page.blocks) + run + 1, np.int64)
-    np.add.at(covered, starts, 1)
-    np.add.at(covered, np.array(starts) + run, -1)
-    covered = np.cumsum(covered) > 0
-    at, unique = 0, []
-    for b in page.blocks:
-        n = len(b.text.split())
-        if not b.dropped and not covered[at : at + n].all():
-            unique.append(b.text)
-        at += n
-    return " ".join(unique or [b.text for b in page.kept()])
+    if keys and (not page.named() or stray):
+        gone = {id(b) for b, c in zip(page.blocks, covered(page, stray if page.named() else keys, run), strict=True) if c}
+        own = page.kept() if page.named() else [b for b in page.blocks if not b.dropped]
+        return " ".join([b.text for b in own if id(b) not in gone] or [b.text for b in page.kept()])
+    return " ".join(b.text for b in page.kept())
 
 
 def extracted(pages: DataFrame, run: int = RUN) -> DataFrame:
@@ -242,26 +368,16 @@ def extracted(pages: DataFrame, run: int = RUN) -> DataFrame:
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"), F.xxhash64(html).alias("page"), html.alias("html"))
     kind = pages.schema["page_id"].dataType.simpleString()
-
-    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            read = [read_page(h) for h in b.column("html").to_pylist()]
-            text = [" ".join(x.text for x in p.kept()) if p.named() else None for p in read]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("page_id", "url", "host", "page")], pa.array(text, pa.string())], names=["page_id", "url", "host", "page", "text"])
-
-    # A page that names its article is done with one reading; only hosts with others are looked at as a whole.
-    first = cut(rows.mapInArrow(parsed, f"page_id {kind}, url string, host string, page bigint, text string"))
-    done = first.where("text is not null").select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
-    doubtful = cut(first.where("text is null").select("host", "page").distinct())
-    if not doubtful.limit(1).count():
-        return done
-    hosts = bounded_broadcast(doubtful.select("host").distinct(), HOSTS)
-    starts = repeats(rows.join(hosts, "host", "left_semi"), run)
-    unnamed = rows.join(bounded_broadcast(doubtful, HOSTS), ["host", "page"], "left_semi").join(starts, ["host", "page"], "left").select("page_id", "url", "html", "starts")
+    hosts = cut(rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of")))
+    few = hosts.limit(HOSTS + 1).count() <= HOSTS
+    shared = repeats(rows, hosts, few, run)
+    small = _few(shared)
+    side = shared if small else hosts.select("host").join(shared, "host", "left")
+    judged = rows.join(F.broadcast(side), "host", "left") if small else joined(rows, side, small, rows.select("host"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [main_text(h, s, run) for h, s in zip(b.column("html").to_pylist(), b.column("starts").to_pylist(), strict=True)]
+            text = [main_text(h, k, s, run) for h, k, s in zip(*(b.column(c).to_pylist() for c in ("html", "keys", "stray")), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return done.unionByName(unnamed.mapInArrow(each, f"page_id {kind}, url string, text string, n_chars bigint"))
+    return judged.select("page_id", "url", "html", "keys", "stray").mapInArrow(each, f"page_id {kind}, url string, text string, n_chars bigint")
