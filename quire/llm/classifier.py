@@ -179,7 +179,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     Only ids outside the held-out residue class are used. An id is a positive if all its labels are 1. The
     unlabelled rows are drawn from all such documents, whatever their label. Both samples are the rows
     whose id's hash is below a share that gives about ``rows`` rows, so they are the same in each run, and
-    a text is read only if its id is in a sample.
+    a text is read only if its id is in a sample. One task fits the model; the driver gets its weights alone.
     """
     good = labels.where(residue(F.col("doc_id")) != HELD_OUT).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
     known = docs.where(F.coalesce(residue(F.col("doc_id")), F.lit(-1)) != HELD_OUT)
@@ -188,10 +188,26 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     share = lambda n: min(1 << 20, -(-(rows << 20) // max(1, n)))
     kept = known.where(place < max(share(n_good), share(n_all)))
     sample = measured(kept.select("doc_id", "text")).withColumn("place", place).join(good.withColumn("good", F.lit(True)), "doc_id", "left").where((F.col("good") & (F.col("place") < share(n_good))) | (F.col("place") < share(n_all)))
-    got = sample.orderBy("place", "doc_id", F.hash("x")).limit(3 * rows).select("x", "place", F.coalesce("good", F.lit(False)).alias("good")).toArrow()
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, len(NAMES) + 2 * CLASSES)
-    at, good_ = (got.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("place", "good"))
-    return train(x[good_.astype(bool) & (at < share(n_good))], x[at < share(n_all)])
+    of_good, of_all = share(n_good), share(n_all)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, at, good_ = [np.zeros((0, len(NAMES) + 2 * CLASSES), np.float32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for b in batches:
+            x.append(np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(-1, x[0].shape[1]))
+            at.append(b.column("place").to_numpy(zero_copy_only=False))
+            good_.append(b.column("good").to_numpy(zero_copy_only=False).astype(bool))
+        x, at, good_ = np.concatenate(x), np.concatenate(at), np.concatenate(good_)
+        m = train(x[good_ & (at < of_good)], x[at < of_all])
+        yield pa.RecordBatch.from_arrays([*[pa.array([v.astype("<f8").tobytes()]) for v in (m.mean, m.scale, m.weight)], pa.array([m.bias]), pa.array([m.prior])], names=["mean", "scale", "weight", "bias", "prior"])
+
+    # Sorted rows that are limited are one partition's.
+    first = sample.orderBy("place", "doc_id", F.hash("x")).limit(3 * rows).select("x", F.col("place").cast("bigint").alias("place"), F.coalesce("good", F.lit(False)).alias("good"))
+    found = first.mapInArrow(fit, "mean binary, scale binary, weight binary, bias double, prior double").collect()
+    if not found:  # an empty table may have no partition
+        none = np.zeros((0, len(NAMES) + 2 * CLASSES), np.float32)
+        return train(none, none)
+    m = found[0]
+    return Model(*[np.frombuffer(v, "<f8") for v in (m["mean"], m["scale"], m["weight"])], m["bias"], m["prior"])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
