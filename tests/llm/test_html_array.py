@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from quire.llm import html
+from quire.llm import common, html
 
 
 def prose(n, seed):
@@ -52,3 +52,16 @@ def test_named_pages_are_judged_by_their_host(spark):
     pages += [f"<article><div>{notice}</div><p>{prose(30, i)}</p><p>{own}</p></article>" for i in range(9, 12)]
     got = {r.page_id: r.text for r in html.extracted(rows_of(spark, pages)).collect()}
     assert got == {i: f"{prose(30, i)} {own}" for i in range(12)}
+
+
+def test_joins_without_broadcast(spark, monkeypatch):
+    """Too many hosts or keys to broadcast: the same texts."""
+    menu = "<div>home about contact shop blog news jobs help login</div>"
+    rows = [(i, f"http://{'big' if i < 40 else i}.com/{i}", menu + f"<p>{prose(30, i)}</p>") for i in range(50)] + [(50, None, None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    want = {r.page_id: r.text for r in html.extracted(df).collect()}
+    assert want == {i: prose(30, i) if i < 40 else f"home about contact shop blog news jobs help login {prose(30, i)}" if i < 50 else "" for i in range(51)}
+    for module, name in ((html, "HOSTS"), (html, "KEYS"), (common, "FEW")):
+        monkeypatch.setattr(module, name, 0)
+    monkeypatch.setattr(html, "GROUP", 7)
+    assert {r.page_id: r.text for r in html.extracted(df).collect()} == want
