@@ -126,3 +126,15 @@ def restarts(df: DataFrame, key: str, order: Sequence[str], count: str) -> DataF
 def ordered_distinct(df: DataFrame, value: str, order: Column) -> DataFrame:
     """Each value once, at its first place."""
     return df.groupBy(value).agg(F.min(order).alias("first"))
+
+
+def sum_in_order(table: DataFrame, value: Column) -> Column:
+    """The sum of a group's doubles, added in the order of table's rows in its files, as an aggregate; null without any.
+
+    Sums of doubles depend on the order, and a shuffle's order changes: where a sum is printed, rounded at a half, so does
+    the print. table is read from files; a group's values are gathered in one row.
+    """
+    file = F.lit(0) if len(table.inputFiles()) == 1 else F.col("_metadata.file_path")
+    one = F.struct(file.alias("file"), F.col("_metadata.row_index").alias("row"), value.alias("value"))
+    rows = F.sort_array(F.collect_list(F.when(value.isNotNull(), one)))
+    return F.aggregate(rows, F.lit(None).cast("double"), lambda acc, x: F.coalesce(acc, F.lit(0.0)) + x["value"])

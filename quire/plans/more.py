@@ -631,7 +631,8 @@ _CELL = "text, role, row, col0, col1, align, scale, bold"
 def _bills(t):
     """(o_orderkey, store, title, meta, entries, totals, footer): orders with their lines in one nested row."""
     line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_linenumber").cast("string").alias("no"), F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" of "), F.col("l_suppkey").cast("string")).alias("name"), F.col("l_linestatus").alias("note"), F.format_number(F.col("l_extendedprice"), 0).alias("amount"))
-    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("entries"), F.bround(F.sum("l_extendedprice"), 0).alias("sum"))
+    items = t("lineitem")
+    lines = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("entries"), F.bround(stats.sum_in_order(items, F.col("l_extendedprice")), 0).alias("sum"))
     pair = lambda a, b: F.struct(F.lit(a).alias("label"), b.alias("value"))
     store = F.struct(F.concat(F.lit("Shop "), F.col("o_custkey").cast("string")).alias("name"), F.lit("").alias("branch"), F.col("o_orderpriority").alias("address"), F.lit(None).cast("string").alias("address2"), F.lit("0123").alias("phone"), F.lit("").alias("website"), F.col("o_orderstatus").alias("tax_code"), F.lit("").alias("account"))
     rows = t("orders").join(lines, "o_orderkey")
