@@ -23,7 +23,7 @@ def scattered(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["sheet_blocks", "sheet_items", "grid_framed_totals"])
+@pytest.mark.parametrize("name", ["sheet_blocks", "sheet_items", "grid_framed_totals", "grid_totals"])
 def test_sums_in_the_order_of_rows(name, spark, scattered):
     con = duckdb.connect()
     con.sql("SET threads = 1")  # with more, the order of its additions, and its result, differs between runs
