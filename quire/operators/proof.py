@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ascii_fold, tokens
+from .layout import let
 
 #: A field is read if this share of its tokens is there.
 HIT = 0.7
@@ -33,7 +34,8 @@ def scored(records: DataFrame, key: str, field: str, text: str, folded: bool = F
     read = F.lower(ascii_fold(text)) if folded else F.col(text)
     bag = records.select(key, F.array_distinct(tokens(read)).alias("bag"), F.explode(field).alias("f")).select(key, "bag", "f.*")
     own = ascii_fold("expected") if folded else F.col("expected")
-    return bag.select(key, "role", "expected", F.round(score(tokens(own), F.col("bag")), 6).alias("score"))
+    both = F.struct(tokens(own).alias("words"), F.col("bag"))  # named once: inside score() the planner would make the bag again for each word
+    return bag.select(key, "role", "expected", let(both, lambda x: F.round(score(x["words"], x["bag"]), 6)).alias("score"))
 
 
 def hit_rates(scores: DataFrame, key: str, least: float = HIT) -> DataFrame:
