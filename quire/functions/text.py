@@ -144,25 +144,12 @@ def wrapped(text: Column, width: int) -> Column:
     """
     if width < 1:
         return F.array(text)
-    bare = lambda x: F.regexp_replace(x, _SPACE + "+$", "")
-    parts = F.regexp_extract_all(text, F.lit(f"{_SPACE}+|[^\\p{{IsWhite_Space}}\\x1c-\\x1f]+"), F.lit(0))
-
-    def step(acc: Column, part: Column) -> Column:
-        lines, now = acc["lines"], acc["now"]
-        size = F.length(part)
-        cuts = F.floor((size - 1) / width).cast("int")
-        full = F.when(cuts > 0, F.transform(F.sequence(F.lit(0), F.greatest(cuts - 1, F.lit(0))), lambda i: F.substr(part, i * width + 1, F.lit(width)))).otherwise(F.array().cast("array<string>"))
-        ended = F.when(bare(now) != "", F.concat(lines, F.array(bare(now)))).otherwise(lines)
-        fits = F.struct(lines.alias("lines"), F.concat(now, part).alias("now"))
-        blank = F.struct(F.concat(lines, F.array(bare(now))).alias("lines"), F.lit("").alias("now"))
-        word = F.struct(F.concat(ended, full).alias("lines"), F.substr(part, cuts * width + 1, F.lit(width)).alias("now"))
-        return F.when(F.length(now) + size <= width, fits).when(part.rlike("^" + _SPACE), blank).otherwise(word)
-
-    def end(acc: Column) -> Column:
-        lines = F.when(bare(acc["now"]) != "", F.concat(acc["lines"], F.array(bare(acc["now"])))).otherwise(acc["lines"])
-        return F.when(F.size(lines) > 0, lines).otherwise(F.array(F.lit("")))
-
-    return F.aggregate(parts, F.struct(F.array().cast("array<string>").alias("lines"), F.lit("").alias("now")), step, end)
+    space, word = _SPACE, r"[^\p{IsWhite_Space}\x1c-\x1f]"
+    fits, over = rf"(?:.{{0,{width - 1}}}{word})(?={space}|\z)", rf"{space}{{{width + 1}}}"
+    # A line: the most whole words that fit, or the beginning of a longer one. Blanks before the first word go if it
+    # doesn't fit behind them; those that overfill a line leave an empty one.
+    line = rf"(?s)(?:\A(?!{fits}|{over}){space}++)?(\A(?={over})|{fits}|{word}{{{width}}}){space}*+"
+    return F.when(F.length(text) <= width, F.array(F.regexp_replace(text, space + "+$", ""))).otherwise(F.regexp_extract_all(text, F.lit(line), F.lit(1)))
 
 
 def fitted(text: Column, width: int) -> Column:
