@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -74,14 +77,81 @@ class _Cells(HTMLParser):
             self.open["text"] += data
 
 
-@F.pandas_udf(ArrayType(CELL))
-def cells_of(markup: pd.Series) -> pd.Series:
-    def read(x: str | None) -> list[dict]:
-        p = _Cells()
-        p.feed(x or "")
-        return p.cells
-
-    return markup.map(read)
+#: A tag without anything odd (after its <), and what HTMLParser reads as text up to its own end tag.
+_TAG = re.compile(r'/[A-Za-z][A-Za-z0-9]*|!doctype html|([A-Za-z][A-Za-z0-9]*)((?: [A-Za-z-]+="[^"<>&]*")*)')
+_RAW = frozenset(("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"))
+
+
+def _tag(head: str) -> tuple[str, int, int] | None:
+    """(name or /name, rowspan, colspan) of a plain tag, else null."""
+    m = _TAG.fullmatch(head)
+    if not m:
+        return None
+    a = dict(re.findall(r'([a-z-]+)="([^"]*)"', (m[2] or "").lower()))
+    down, across = a.get("rowspan") or "1", a.get("colspan") or "1"
+    if not (down.isdecimal() and across.isdecimal()):
+        return None
+    return (m[1] or head).lower(), max(1, int(down)), max(1, int(across))
+
+
+def _plain_cells(markup: str, known: dict[str, tuple[str, int, int] | None]) -> list[tuple] | None:
+    """The rows of _Cells (as tuples) of markup that is text and plain tags; null of any other. known: tags read before."""
+    cells, starts, taken = [], {}, set()  # starts: a row's first place that may be free
+    row, tag, raw = -1, "", ""
+    parts = markup.split("<")
+    if "&" in parts[-1]:
+        return None
+    for part in parts[1:]:
+        head, closed, data = part.partition(">")
+        if not closed:
+            return None
+        if head not in known:
+            known[head] = _tag(head)
+        read = known[head]
+        if read is None or (raw and read[0] != raw):
+            return None
+        name, down, across = read
+        raw = ""
+        if name == "tr":
+            row += 1
+        elif name == "td" or name == "th":
+            r = max(0, row)
+            col = starts.get(r, 0)
+            while (r, col) in taken:
+                col += 1
+            starts[r] = col + across
+            if down > 1:
+                taken.update((r + i, col + j) for i in range(1, down) for j in range(across))
+            tag, text = name, []
+            cells.append((name, r, col, down, across, text))
+        elif name == "/td" or name == "/th":
+            tag = ""
+        elif name in _RAW:
+            if tag or name == "plaintext":
+                return None
+            raw = "/" + name
+        if tag and data:
+            text.append(unescape(data) if "&" in data else data)
+    return None if raw else cells
+
+
+@F.arrow_udf(ArrayType(CELL))
+def cells_of(markup: pa.Array) -> pa.Array:
+    """The cells of each markup: HTMLParser's, by a shorter way where the markup is plain."""
+    offsets, columns, known = [0], [[] for _ in CELL], {}
+    for x in markup.to_pylist():
+        cells = _plain_cells(x or "", known)
+        if cells is None:
+            p = _Cells()
+            p.feed(x)
+            cells = [(*[c[n] for n in CELL.names[:-1]], [c["text"]]) for c in p.cells]
+        for c in cells:
+            for column, v in zip(columns, c, strict=True):
+                column.append(v)
+        offsets.append(len(columns[0]))
+    columns[-1] = ["".join(t) for t in columns[-1]]
+    values = [pa.array(v, pa.string() if n in ("tag", "text") else pa.int32()) for n, v in zip(CELL.names, columns, strict=True)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, CELL.names))
 
 
 class _Runs(HTMLParser):

@@ -1,7 +1,10 @@
+import random
+
 import duckdb
 import pytest
 from conftest import same
 
+from quire.operators import tables
 from quire.plans import more  # noqa: F401 - registers its queries
 from quire.plans.registry import ORACLES, QUERIES
 
@@ -31,3 +34,19 @@ def test_sums_in_the_order_of_rows(name, spark, scattered):
     con.sql(f"CREATE VIEW lineitem AS FROM read_parquet('{scattered}/lineitem.parquet/*.parquet') WHERE l_orderkey >= 0")
     got, want = same(QUERIES[name](spark, str(scattered)), con, ORACLES[name])
     assert got == want
+
+
+def test_plain_markup_is_read_as_by_the_parser():
+    """Where the shorter way reads at all, it reads what HTMLParser does; sheets are read by it."""
+    bits = ["<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>", '<td rowspan="2">', '<TD colspan="3" class="r">', "a &amp; b", "5 > 4", '<span data-kind="k">', "<br/>", "<!-- <td> -->", "<title>a &lt; b</title>", "<style>td{}", "</style>", "<td", "&am", "<td rowspan=2>", '<td rowspan="0">']
+    draw, read = random.Random(3), 0
+    for _ in range(5000):
+        x = "".join(draw.choice(bits[: draw.choice((11, 20))]) for _ in range(draw.randint(0, 20)))
+        got = tables._plain_cells(x, {})
+        if got is not None:
+            p = tables._Cells()
+            p.feed(x)
+            assert [(*c[:-1], "".join(c[-1])) for c in got] == [tuple(c.values()) for c in p.cells], x
+            read += 1
+    assert read > 500
+    assert len(tables._plain_cells('<!doctype html><html><head><meta charset="utf-8"><title>a &lt; b</title><style></style></head><body><table><tr><td data-row="0"><span>1</span></td></tr></table></body></html>', {})) == 1
